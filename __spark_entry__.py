@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from mapweave.functions import expressions as ex
 from mapweave.operators import dictionary, filters, keys, lists, reports, reshape
 from mapweave.plans import rules as rule_plans
-from mapweave.plans.job import Inputs, cast_records, map_records
+from mapweave.plans.job import Inputs, MappedRecords, cast_records
 from mapweave.plans.rules import Rule, project_rules
 from mapweave.sources.readers import read_json_strings
 from mapweave.sources.storage import Staging
@@ -451,13 +451,9 @@ SELECT DISTINCT o_orderpriority, 'w' FROM orders
 
 def _choice_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A choice list per order; one with a fully discounted line is malformed."""
-    choice = F.format_string(
-        "%d_%d,%s%s, part %d ",
-        "l_linenumber",
-        "l_suppkey",
-        F.when(F.col("l_discount") == 0.1, "").otherwise(" "),
-        "l_returnflag",
-        "l_partkey",
+    choice = F.expr(
+        "concat(l_linenumber, '_', l_suppkey, CASE WHEN l_discount = 0.1 THEN ',' ELSE ', ' END,"
+        " l_returnflag, ', part ', l_partkey, ' ')"
     )
     return (
         _table(spark, sf_dir, "lineitem")
@@ -704,11 +700,11 @@ def _job_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return map_records(_job_inputs(spark, sf_dir)).tables["order_fact"]
+    return MappedRecords(_job_inputs(spark, sf_dir)).mapped_tables["order_fact"]
 
 
 def shared_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return map_records(_job_inputs(spark, sf_dir)).tables["market"]
+    return MappedRecords(_job_inputs(spark, sf_dir)).mapped_tables["market"]
 
 
 _JOB = """

@@ -16,8 +16,9 @@ _SPARK_TYPES = dict(
     zip(DECLARED_TYPE_NAMES, (T.BooleanType(), T.IntegerType(), T.DateType(), T.StringType()))
 )
 
-# try_cast refuses "1.5" as an int; a decimal tail is cut off, not an error.
-_DECIMAL_TEXT = r"\A\s*(?<sign>[+-]?)(?<digits>[0-9]*)\.[0-9]*\s*\z"
+# Whole numbers, with a decimal tail that is cut off. Text of any other form is
+# never handed to a cast: a failing try_cast costs an exception per row.
+_INT_TEXT = r"\A[\x00-\x20]*[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]*)[\x00-\x20]*\z"
 
 
 def declared_type(name: str | None) -> T.DataType:
@@ -34,10 +35,16 @@ def cast_declared(value: Column, name: str | None) -> Column:
     if name == "text":
         return text
     if name == "int":
-        text = F.regexp_replace(text, _DECIMAL_TEXT, "${sign}0${digits}")
+        return F.when(text.rlike(_INT_TEXT), _whole_part(text))
     return text.try_cast(target)
 
 
+def _whole_part(number: Column) -> Column:
+    """The number before the decimal point; none there counts as 0."""
+    whole = F.trim(F.substring_index(number, ".", 1))
+    return F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int"))
+
+
 def comparable(text: Column, other: T.DataType) -> Column:
     """Text made comparable with a column of type ``other``.
 

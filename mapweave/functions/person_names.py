@@ -29,8 +29,8 @@ from mapweave.fixed_values import (
     WHOLE_NAMES,
 )
 
-# A private-use character keeps the parts apart. A piece holding one is never
-# a name, and the pattern accepts exactly one in alternatives 1 and 2.
+# A private-use character keeps the parts apart. Names never hold one, and a
+# piece loses its own, so the last one in the input is the separator.
 MARK = "\ue000"
 
 _WORD = r"(?>[a-zA-Z]+[a-z]+)"
@@ -65,7 +65,7 @@ _IS_PIECE = rf"(?={_ANY_NAME}{_BLANKS}*\z)"
 # first, last.
 _PATTERN = (
     rf"(?s)\A(?:{_IS_NAME}{_NAME_PARTS}.*"
-    rf"|[^{MARK}]*{MARK}{_BLANKS}*+{_IS_PIECE}{_NAME_PARTS}.*"
+    rf"|.*{MARK}{_BLANKS}*+{_IS_PIECE}{_NAME_PARTS}.*"
     rf"|(.*){MARK}[^{MARK}]*)\z"
 )
 _REPLACEMENT = f"$1$2$4$7$9$10$12$15{MARK}$1$3$5$6$8$9$11$13$14$16$17"

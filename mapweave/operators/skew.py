@@ -1,8 +1,8 @@
 """Joins that hold up when one key carries a large share of the rows.
 
-A join first looks at Catalyst's size estimates. When the right side is below
-the session's broadcast threshold Spark broadcasts it by itself, and when the
-left side fits in one task no key can overload one; both get the plain join.
+A join first looks at sizes. When the inputs of the left side fit in one task no
+key can overload one, and when the right side is below the session's broadcast
+threshold Spark broadcasts it by itself; both get the plain join.
 Otherwise the heaviest left keys are split: their rows are spread over
 numbered slices by a hash of the row, and the matching right rows are repeated
 once per slice. Every row still meets exactly its matches.
@@ -22,7 +22,7 @@ ROWS_PER_SLICE = 1_000_000
 # Heavy keys looked up by broadcast. Any key beyond these holds less than
 # 1/HEAVY_KEYS of the rows and stays in one slice.
 HEAVY_KEYS = 1024
-# A left side estimated below this size is handled by a plain join.
+# A left side with inputs below this size is handled by a plain join.
 ONE_TASK_BYTES = 256 * 1024 * 1024
 
 
@@ -31,23 +31,30 @@ def temp_name(label: str) -> str:
     return f"__{label}_{uuid4().hex[:12]}"
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, or None where the session does not expose it."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of all inputs of a plan, or None where the session does not expose it.
+
+    Inputs of unknown size count as huge.
+    """
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
     except AttributeError:
         return None
 
 
-def _broadcast_limit(df: DataFrame) -> int:
+def will_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's size estimate is within the session's broadcast threshold."""
     try:
-        return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
     except AttributeError:
-        return -1
+        return False
 
 
-def _is_within(size: int | None, limit: int) -> bool:
-    return size is not None and size <= limit
+def fits_one_task(df: DataFrame) -> bool:
+    size = input_bytes(df)
+    return size is not None and size <= ONE_TASK_BYTES
 
 
 def heavy_keys(df: DataFrame, keys: list[str], rows_per_slice: int, slices: str) -> DataFrame:
@@ -113,8 +120,6 @@ def balanced_join(
 
     ``how`` is inner, left or left_anti. The two sides share no column name.
     """
-    if _is_within(estimated_bytes(right), _broadcast_limit(right)) or _is_within(
-        estimated_bytes(left), ONE_TASK_BYTES
-    ):
+    if fits_one_task(left) or will_broadcast(right):
         return left.join(right, key_condition(keys, null_safe), how)
     return split_join(left, right, keys, how, null_safe)

@@ -1,7 +1,7 @@
 """The job: records in, one table per target out.
 
-``map_records`` only builds plans, on any records, rules and lists given as
-DataFrames. ``run_job`` reads the inputs from files, stages the filtered
+``MappedRecords`` only builds plans, on any records, rules and lists given as
+DataFrames, unless it is given a place to stage tables. ``run_job`` reads the inputs from files, stages the filtered
 records and the id tables, and writes every output.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -41,24 +42,6 @@ class Inputs:
     drop_test_records: bool = False
 
 
-@dataclass
-class Outputs:
-    tables: dict[str, DataFrame]
-    unknown: DataFrame
-    missing: DataFrame
-    reviewers: DataFrame | None
-    labels: DataFrame | None
-    rejects: dict[str, DataFrame]
-
-    def all_tables(self) -> dict[str, DataFrame]:
-        tables = dict(self.tables)
-        if self.reviewers is not None:
-            tables[fixed.REVIEWER_TABLE] = self.reviewers
-        if self.labels is not None:
-            tables[fixed.LABEL_TABLE] = self.labels
-        return tables
-
-
 def cast_records(records: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """Give record columns their declared types, in one projection.
 
@@ -105,11 +88,11 @@ def add_ids(records: DataFrame, rules: list[Rule], staging: Staging | None = Non
 
 def routed_rules(spark: SparkSession, rules: list[Rule], names: list[str]) -> dict[str, list[Rule]]:
     """Rules that read one of the named columns, by target table, in rule order."""
-    routed = rule_plans.column_lists(rule_plans.route(rule_plans.rules_frame(spark, rules), names))
-    return {
-        row["table"]: [rules[entry["ordinal"]] for entry in row["columns"]]
-        for row in routed.collect()
-    }
+    routed = rule_plans.route(rule_plans.rules_frame(spark, rules), names)
+    by_table: dict[str, list[Rule]] = {}
+    for ordinal in sorted(row["ordinal"] for row in routed.select("ordinal").collect()):
+        by_table.setdefault(rules[ordinal].table, []).append(rules[ordinal])
+    return by_table
 
 
 def target_tables(records: DataFrame, rules: list[Rule]) -> dict[str, DataFrame]:
@@ -141,33 +124,74 @@ def column_reports(records: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Da
     return reports.bag_difference(present, mapped), reports.bag_difference(mapped, present)
 
 
-def map_records(inputs: Inputs, staging: Staging | None = None) -> Outputs:
-    """Build every output of the job. Without ``staging`` nothing is written."""
-    rules = inputs.rules
-    added = [c for df in inputs.enrich + inputs.restrict for c in df.columns]
-    rule_plans.check_rules(rules, list(dict.fromkeys(inputs.records.columns + added)))
-    ex.register_functions(inputs.records.sparkSession)
-    records, rejects = filter_records(inputs)
-    if staging is not None:
-        records = staging.table(records, "records")
-    labels = None
-    if inputs.dictionary is not None:
-        frame = rule_plans.rules_frame(records.sparkSession, rules)
-        labels = dic.label_dimension(inputs.dictionary, frame)
-    reviewers = reshape.prefixed_to_long(records, fixed.REVIEWER_PREFIX, "reviewer", "organization")
-    with_ids = add_ids(records, rules, staging)
-    unknown, missing = column_reports(with_ids, rules)
-    return Outputs(target_tables(with_ids, rules), unknown, missing, reviewers, labels, rejects)
-
-
-def write_outputs(outputs: Outputs, directory: str, count_rows: bool = False) -> dict[str, int]:
+class MappedRecords:
+    """Every output of the job, each built when it is first asked for."""
+
+    def __init__(self, inputs: Inputs, staging: Staging | None = None):
+        added = [c for df in inputs.enrich + inputs.restrict for c in df.columns]
+        rule_plans.check_rules(
+            inputs.rules, list(dict.fromkeys(inputs.records.columns + added))
+        )
+        self._spark = inputs.records.sparkSession
+        self._inputs = inputs
+        self._staging = staging
+        ex.register_functions(self._spark)
+        records, self.rejects = filter_records(inputs)
+        self.records = staging.table(records, "records") if staging else records
+
+    @cached_property
+    def records_with_ids(self) -> DataFrame:
+        return add_ids(self.records, self._inputs.rules, self._staging)
+
+    @cached_property
+    def mapped_tables(self) -> dict[str, DataFrame]:
+        return target_tables(self.records_with_ids, self._inputs.rules)
+
+    @cached_property
+    def reviewers(self) -> DataFrame | None:
+        return reshape.prefixed_to_long(
+            self.records, fixed.REVIEWER_PREFIX, "reviewer", "organization"
+        )
+
+    @cached_property
+    def labels(self) -> DataFrame | None:
+        if self._inputs.dictionary is None:
+            return None
+        rules = rule_plans.rules_frame(self._spark, self._inputs.rules)
+        return dic.label_dimension(self._inputs.dictionary, rules)
+
+    @cached_property
+    def _reports(self) -> tuple[DataFrame, DataFrame]:
+        return column_reports(self.records_with_ids, self._inputs.rules)
+
+    @property
+    def unknown(self) -> DataFrame:
+        return self._reports[0]
+
+    @property
+    def missing(self) -> DataFrame:
+        return self._reports[1]
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Target tables together with the reviewer table and the label dimension."""
+        tables = dict(self.mapped_tables)
+        if self.reviewers is not None:
+            tables[fixed.REVIEWER_TABLE] = self.reviewers
+        if self.labels is not None:
+            tables[fixed.LABEL_TABLE] = self.labels
+        return tables
+
+
+def write_outputs(
+    mapped: MappedRecords, directory: str, count_rows: bool = False
+) -> dict[str, int]:
     """Write tables and reports; with ``count_rows`` also return the rows of each table."""
-    writers.write_report(outputs.unknown, f"{directory}/unknown")
-    writers.write_report(outputs.missing, f"{directory}/missing")
+    writers.write_report(mapped.unknown, f"{directory}/unknown")
+    writers.write_report(mapped.missing, f"{directory}/missing")
     if not count_rows:
-        writers.write_tables(outputs.all_tables(), directory)
+        writers.write_tables(mapped.tables(), directory)
         return {}
-    observed = {name: reports.counted(df, name) for name, df in outputs.all_tables().items()}
+    observed = {name: reports.counted(df, name) for name, df in mapped.tables().items()}
     writers.write_tables({name: df for name, (df, _) in observed.items()}, directory)
     counts = {name: observation.get["rows"] for name, (_, observation) in observed.items()}
     for name, rows in counts.items():
@@ -212,6 +236,6 @@ def run_job(spark: SparkSession, files: JobFiles, count_rows: bool = False) -> d
     """Read, map and write; staged tables are removed when the outputs are written."""
     inputs = read_inputs(spark, files)
     staging = Staging(spark)
-    counts = write_outputs(map_records(inputs, staging), files.output, count_rows)
+    counts = write_outputs(MappedRecords(inputs, staging), files.output, count_rows)
     staging.remove()
     return counts

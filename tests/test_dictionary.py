@@ -1,0 +1,103 @@
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import rows
+from mapweave.operators.dictionary import explode_choices, label_dimension, member_rows
+from mapweave.plans.rules import Rule, rules_frame
+
+
+def exploded(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, choices string")
+    out = [[] for _ in texts]
+    for r in explode_choices(df, "choices").collect():
+        out[r["i"]].append((r["index"], r["description"]))
+    return [sorted(o) for o in out]
+
+
+CASES = {
+    "1, a| 2, b": [("1", "a"), ("2", "b")],
+    "1, a | 2, b, c": [("1", "a"), ("2", "b, c")],
+    "1,a| 2, b": [],
+    "1, a|2, b": [],
+    "1, a| 2, b| ": [],
+    "1, a|": [],
+    "A, x": [],
+    "-1, x": [],
+    "1, | 2, b": [("1", ""), ("2", "b")],
+    "  1 , a": [("1", "a")],
+    "0_1, q": [("0_1", "q")],
+    "1, a |  2 , b ": [("1", "a"), ("2", "b")],
+    "1, line\none | 2, \tb\x01": [("1", "line\none"), ("2", "b")],
+    "sum([a], [b])": [],
+    "1": [],
+    "": [],
+    "  ": [],
+    None: [],
+}
+
+
+def test_cases(spark):
+    assert dict(zip(CASES, exploded(spark, CASES))) == CASES
+
+
+def test_long_lists(spark):
+    text = " | ".join(f"{i}, label {i}" for i in range(20_000))
+    assert len(exploded(spark, [text])[0]) == 20_000
+
+
+labels = st.text(st.characters(codec="utf-8", exclude_characters="|"), max_size=8)
+codes = st.from_regex(r"\A[0-9_]{1,4}\Z")
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.tuples(codes, labels), min_size=1, max_size=4), min_size=50, max_size=80))
+def test_built_lists_parse(spark, lists):
+    texts = ["| ".join(f"{code}, {label}" for code, label in entries) for entries in lists]
+    trimmed = [
+        sorted((code, re.sub(r"\A[\x00-\x20]+|[\x00-\x20]+\Z", "", label)) for code, label in entries)
+        for entries in lists
+    ]
+    assert exploded(spark, texts) == trimmed
+
+
+def test_member_rows(spark):
+    df = spark.createDataFrame(
+        [("ctsa_12", "North"), ("ctsa_", "None"), ("ctsa_1x", "no"), ("xctsa_1", "no")],
+        "field_name string, field_label string",
+    )
+    assert rows(member_rows(df)) == [
+        ("org_name", "Submitter", "submitterInstitution", "", "None"),
+        ("org_name", "Submitter", "submitterInstitution", "12", "North"),
+    ]
+
+
+def test_label_dimension(spark):
+    dictionary = spark.createDataFrame(
+        [
+            ("kind", "Kind", "1, One | 2, Two"),
+            ("other", "Other", "1, Not mapped"),
+            ("bad", "Bad", "x"),
+            ("blank", "Blank", ""),
+            ("ctsa_7", "Seven", None),
+        ],
+        "field_name string, field_label string, select_choices_or_calculations string",
+    )
+    rules = [
+        Rule("t", "kind_code", "field", ("kind",)),
+        Rule("u", "mixed", "first_nonblank", ("kind", "other")),
+        Rule(None, "loose", "field", ("kind",)),
+        Rule("t", "bad", "field", ("bad",)),
+        Rule("t", "blank", "field", ("blank",)),
+        Rule("t", "fixed", "literal", ('"kind"',)),
+    ]
+    assert rows(label_dimension(dictionary, rules_frame(spark, rules))) == [
+        (None, "loose", "1", "One", "kind___1"),
+        (None, "loose", "2", "Two", "kind___2"),
+        ("Submitter", "submitterInstitution", "7", "Seven", "org_name___7"),
+        ("t", "kind_code", "1", "One", "kind___1"),
+        ("t", "kind_code", "2", "Two", "kind___2"),
+        ("u", "mixed", "1", "One", "kind___1"),
+        ("u", "mixed", "2", "Two", "kind___2"),
+    ]
