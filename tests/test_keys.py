@@ -1,0 +1,62 @@
+import hashlib
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from mapweave.operators import keys
+
+
+def people(spark, n=500):
+    return spark.range(n).select(
+        "id",
+        (F.col("id") % 7).alias("a"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("k"), F.col("id") % 11)).alias("b"),
+    )
+
+
+def by_hand(pairs, digits=3):
+    """Ids of distinct pairs without a null."""
+
+    def order(pair):
+        return (hashlib.md5(chr(31).join(map(str, pair)).encode()).hexdigest()[:digits], pair)
+
+    distinct = {p for p in pairs if None not in p}
+    return {p: i for i, p in enumerate(sorted(distinct, key=order))}
+
+
+def test_ids_are_dense_one_per_key_and_null_for_null_parts(spark):
+    df = people(spark)
+    expected = by_hand([(r["a"], r["b"]) for r in df.collect()])
+    got = keys.generate_ids(df, [F.col("a"), F.col("b")], "gid").collect()
+    assert len(got) == 500
+    assert {r["id"]: r["gid"] for r in got} == {r["id"]: expected.get((r["a"], r["b"])) for r in got}
+    assert sorted(set(expected.values())) == list(range(len(expected)))
+
+
+def test_ids_do_not_depend_on_partitioning(spark):
+    df = people(spark)
+    before = rows(keys.generate_ids(df, [F.col("a"), F.col("b")], "gid"))
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = keys.generate_ids(df.repartition(13, "id"), [F.col("a"), F.col("b")], "gid")
+        assert rows(again) == before
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_key_parts_can_be_expressions(spark):
+    df = people(spark)
+    part = F.coalesce(F.col("b"), F.lit("none"))
+    got = keys.generate_ids(df, [part], "gid", digits=1)
+    expected = by_hand([(r["b"] or "none",) for r in df.collect()], digits=1)
+    assert all(r["gid"] == expected[(r["b"] or "none",)] for r in got.collect())
+    assert got.columns == ["id", "a", "b", "gid"]
+
+
+def test_large_inputs_take_the_split_join(spark, small_limits):
+    df = people(spark)
+    expected = by_hand([(r["a"], r["b"]) for r in df.collect()])
+    got = keys.generate_ids(df, [F.col("a"), F.col("b")], "gid").collect()
+    assert {r["id"]: r["gid"] for r in got} == {r["id"]: expected.get((r["a"], r["b"])) for r in got}
