@@ -104,10 +104,8 @@ def target_tables(records: DataFrame, rules: list[Rule]) -> dict[str, DataFrame]
     if not groups:
         return tables
     for table, checkbox_rules in routed_rules(spark, rules, list(groups)).items():
-        distinct_rules = list(dict.fromkeys(checkbox_rules))
-        if len(distinct_rules) > 1:
-            raise ValueError(f"table {table} has more than one checkbox rule")
-        rule = distinct_rules[0]
+        # Checked before: one checkbox rule per table.
+        rule = checkbox_rules[0]
         pairs = rule_plans.key_pairs(rule, rules)
         ticks = reshape.unpivot_ticks(records, pairs, groups[rule.args[0]], rule.column)
         tables[table] = reshape.attach_copied(ticks, tables[table], [target for _, target in pairs])

@@ -276,9 +276,12 @@ def check_rules(rules: list[Rule], columns: list[str]) -> None:
         if repeated:
             raise ValueError(f"table {table} gets several rules for {repeated}")
 
-    for rule in used:
-        if groups.keys() & set(rule.sources):
-            _check_checkbox(rule, rules, columns, copied)
+    ticked = list(dict.fromkeys(r for r in used if groups.keys() & set(r.sources)))
+    crowded = [t for t, n in Counter(r.table for r in ticked).items() if n > 1]
+    if crowded:
+        raise ValueError(f"more than one checkbox rule for {crowded}")
+    for rule in ticked:
+        _check_checkbox(rule, rules, columns, copied)
 
 
 def _check_checkbox(

@@ -85,6 +85,7 @@ BAD = {
     "generate_id for g reads missing": [Rule(None, "g", "generate_id", ("gone",))],
     "several rules for": [Rule("t", "c", "field", ("rid",)), Rule("t", "c", "field", ("name",))],
     "written by the job itself": [Rule("name", "c", "field", ("rid",))],
+    "more than one checkbox rule": [KEY, TICK, Rule("main", "other", "field", ("t",))],
     "must be a plain field": [KEY, Rule("main", "tag", "first_nonblank", ("t", '"x"'))],
     "type must be text": [KEY, Rule("main", "tag", "field", ("t",), "int")],
     "no copied columns": [Rule("main", "tag", "field", ("t",))],
