@@ -6,14 +6,14 @@ numbers and booleans and by text for dates, and never fails on bad text.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 
 from mapweave.functions.casts import comparable, compared_as_text
 from mapweave.functions.expressions import field
 from mapweave.operators.filters import Filtered, Stage
-from mapweave.operators.skew import balanced_join, temp_name
+from mapweave.operators.skew import balanced_join, temp_name, will_broadcast
 
 
 def _prepared(
@@ -71,25 +71,33 @@ def block(records: DataFrame, entries: DataFrame) -> DataFrame:
     return kept.select(*[field(c) for c in records.columns])
 
 
-def _stage(operator, lists: Iterable[DataFrame]) -> Stage:
+# Writes a DataFrame to shared storage and reads it back, to cut its lineage.
+Cut = Callable[[DataFrame], DataFrame]
+
+
+def _stage(operator, lists: Iterable[DataFrame], cut: Cut | None) -> Stage:
     lists = list(lists)
 
     def stage(records: DataFrame) -> Filtered:
         for entries in lists:
+            # A list too large to broadcast has the records read twice, once to
+            # count their keys. From a written table that reads the keys alone.
+            if cut is not None and not will_broadcast(entries):
+                records = cut(records)
             records = operator(records, entries)
         return Filtered(records, None)
 
     return stage
 
 
-def enrich_all(lists: Iterable[DataFrame]) -> Stage:
+def enrich_all(lists: Iterable[DataFrame], cut: Cut | None = None) -> Stage:
     """Enrich by one list after another; later lists may use columns of earlier ones."""
-    return _stage(enrich, lists)
+    return _stage(enrich, lists, cut)
 
 
-def restrict_all(lists: Iterable[DataFrame]) -> Stage:
-    return _stage(restrict, lists)
+def restrict_all(lists: Iterable[DataFrame], cut: Cut | None = None) -> Stage:
+    return _stage(restrict, lists, cut)
 
 
-def block_all(lists: Iterable[DataFrame]) -> Stage:
-    return _stage(block, lists)
+def block_all(lists: Iterable[DataFrame], cut: Cut | None = None) -> Stage:
+    return _stage(block, lists, cut)

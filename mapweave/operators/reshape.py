@@ -56,9 +56,11 @@ def unpivot_ticks(
 def attach_copied(ticks: DataFrame, copied: DataFrame, keys: list[str]) -> DataFrame:
     """Join ticks to the copied table on the key columns; entities without ticks go."""
     names = {k: temp_name("key") for k in keys}
-    right = copied.withColumnsRenamed(names)
     others = [c for c in copied.columns if c not in names]
-    joined = balanced_join(ticks, right, list(names.items()), "inner")
+    # Copied rows are distinct, so a key with many of them splits evenly.
+    joined = balanced_join(
+        copied.withColumnsRenamed(names), ticks, [(n, k) for k, n in names.items()], "inner"
+    )
     return joined.select(*[field(c) for c in ticks.columns + others])
 
 

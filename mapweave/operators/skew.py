@@ -2,10 +2,10 @@
 
 A join first looks at sizes. When the inputs of the left side fit in one task no
 key can overload one, and when the right side is below the session's broadcast
-threshold Spark broadcasts it by itself; both get the plain join.
-Otherwise the heaviest left keys are split: their rows are spread over
-numbered slices by a hash of the row, and the matching right rows are repeated
-once per slice. Every row still meets exactly its matches.
+threshold Spark broadcasts it by itself; both get the plain join. Otherwise the
+left keys are counted. If some are heavy their rows are spread over numbered
+slices by a hash of the row, and the matching right rows are repeated once per
+slice. Every row still meets exactly its matches.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mapweave.sources.local import local_frame
+
 # Rows of one key that go to one task.
 ROWS_PER_SLICE = 1_000_000
 # Heavy keys looked up by broadcast. Any key beyond these holds less than
@@ -60,47 +62,50 @@ def fits_one_task(df: DataFrame) -> bool:
 def heavy_keys(df: DataFrame, keys: list[str], rows_per_slice: int, slices: str) -> DataFrame:
     """The heaviest key tuples (at most HEAVY_KEYS) with their number of slices.
 
-    Counts are pre-aggregated before the shuffle and only the top is kept.
+    Runs a job: counts are pre-aggregated before the shuffle and only the top is
+    fetched. Keeping the few rows as a local relation means that the plan of
+    ``df`` does not appear once more in the plan of the join.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(slices))
-    return (
+    counts = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(slices))
+    heaviest = (
         counts.where(F.col(slices) > rows_per_slice)
-        .orderBy(F.desc(slices), *keys)
-        .limit(HEAVY_KEYS)
         .withColumn(slices, F.ceil(F.col(slices) / rows_per_slice).cast("int"))
+        .orderBy(F.desc(slices), *[F.col(f"`{k}`") for k in keys])
+        .limit(HEAVY_KEYS)
     )
+    return local_frame(df.sparkSession, heaviest.collect(), heaviest.schema)
 
 
 def _with_slices(df: DataFrame, keys: list[str], heavy: DataFrame, slices: str) -> DataFrame:
     """Add the slice count of each row's key; null for keys that are not heavy."""
+    *heavy_columns, count = heavy.columns
     names = [temp_name("heavy") for _ in keys]
     lookup = heavy.select(
-        *[F.col(h).alias(n) for h, n in zip(heavy.columns, names)], F.col(heavy.columns[-1]).alias(slices)
+        *[F.col(f"`{h}`").alias(n) for h, n in zip(heavy_columns, names, strict=True)],
+        F.col(count).alias(slices),
     )
-    match = reduce(and_, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    match = key_condition(list(zip(keys, names)), null_safe=True)
     return df.join(F.broadcast(lookup), match, "left").drop(*names)
 
 
 def split_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[tuple[str, str]],
-    how: str,
-    null_safe: bool = False,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], how: str, null_safe: bool = False
 ) -> DataFrame:
     """Join with heavy left keys split; keeps all columns of both sides."""
-    lefts = [k for k, _ in keys]
-    heavy = heavy_keys(left.select(*[f"`{k}`" for k in lefts]), lefts, rows_per_slice, temp_name("n"))
+    lefts, rights = [k for k, _ in keys], [k for _, k in keys]
+    heavy = heavy_keys(left, lefts, ROWS_PER_SLICE, temp_name("n"))
+    condition = key_condition(keys, null_safe)
+    if heavy.isEmpty():
+        return left.join(right, condition, how)
     slices, l_slice, r_slice = temp_name("slices"), temp_name("slice"), temp_name("slice")
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     sliced = _with_slices(left, lefts, heavy, slices).withColumn(
         l_slice, F.coalesce(F.pmod(row_hash, F.col(slices)).cast("int"), F.lit(0))
     )
-    repeated = _with_slices(right, [k for _, k in keys], heavy, slices).withColumn(
+    repeated = _with_slices(right, rights, heavy, slices).withColumn(
         r_slice, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(slices), F.lit(1)) - 1))
     )
-    condition = key_condition(keys, null_safe) & (F.col(l_slice) == F.col(r_slice))
+    condition = condition & (F.col(l_slice) == F.col(r_slice))
     return sliced.drop(slices).join(repeated.drop(slices), condition, how).drop(l_slice, r_slice)
 
 

@@ -53,14 +53,17 @@ def cast_records(records: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     return records.withColumns(casts) if casts else records
 
 
-def filter_records(inputs: Inputs) -> tuple[DataFrame, dict[str, DataFrame]]:
+def filter_records(
+    inputs: Inputs, staging: Staging | None = None
+) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Typed and trimmed records through the filter chain, and rejects by stage."""
+    cut = staging.cut if staging else None
     typed = cast_records(inputs.records, inputs.rules)
     stages = [
         ("primary", filters.primary_records(fixed.REPEAT_INSTRUMENT, fixed.REPEAT_INSTANCE)),
-        ("enrich", lists.enrich_all(inputs.enrich)),
-        ("restrict", lists.restrict_all(inputs.restrict)),
-        ("block", lists.block_all(inputs.block)),
+        ("enrich", lists.enrich_all(inputs.enrich, cut)),
+        ("restrict", lists.restrict_all(inputs.restrict, cut)),
+        ("block", lists.block_all(inputs.block, cut)),
     ]
     if inputs.drop_test_records:
         test_records = filters.split_test_records(
@@ -134,7 +137,7 @@ class MappedRecords:
         self._inputs = inputs
         self._staging = staging
         ex.register_functions(self._spark)
-        records, self.rejects = filter_records(inputs)
+        records, self.rejects = filter_records(inputs, staging)
         self.records = staging.table(records, "records") if staging else records
 
     @cached_property

@@ -29,16 +29,15 @@ from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from mapweave import fixed_values as fixed
 from mapweave.functions import expressions as ex
 from mapweave.functions.casts import declared_type
 from mapweave.operators.reshape import checkbox_groups, plain_columns
+from mapweave.sources.local import local_frame
 
 RULE_SCHEMA = (
     "ordinal int, table string, column string, kind string, sources array<string>, "
@@ -158,14 +157,11 @@ def read_rules(spark: SparkSession, path: str) -> list[Rule]:
 
 
 def rules_frame(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
-    """Rules as rows, in a local relation whose size Catalyst knows."""
     rows = [
         (i, r.table, r.column, r.kind, r.sources, list(r.args), r.type, r.primary)
         for i, r in enumerate(rules)
     ]
-    fields = to_arrow_schema(T.StructType.fromDDL(RULE_SCHEMA))
-    columns = [pa.array([row[i] for row in rows], f.type) for i, f in enumerate(fields)]
-    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=fields))
+    return local_frame(spark, rows, T.StructType.fromDDL(RULE_SCHEMA))
 
 
 def route(rules: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -53,6 +53,10 @@ class Staging:
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
+    def cut(self, df: DataFrame) -> DataFrame:
+        """Write and read back ``df`` under a name of its own."""
+        return self.table(df, f"cut_{uuid4().hex}")
+
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
 

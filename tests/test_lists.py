@@ -79,5 +79,19 @@ def test_lists_that_do_not_fit(spark, data):
         lists.block(data, entries(spark, ["seg", "other"], ("a", "b")))
 
 
+def test_records_are_cut_before_a_large_list(spark, data, monkeypatch):
+    cuts = []
+
+    def cut(df):
+        cuts.append(df)
+        return df
+
+    listed = entries(spark, ["n"], ("1",))
+    monkeypatch.setattr(lists, "will_broadcast", lambda df: True)
+    assert ids(lists.restrict_all([listed], cut)(data).kept) == [1] and not cuts
+    monkeypatch.setattr(lists, "will_broadcast", lambda df: False)
+    assert ids(lists.restrict_all([listed, listed], cut)(data).kept) == [1] and len(cuts) == 2
+
+
 def test_no_lists(spark, data):
     assert ids(lists.block_all([])(data).kept) == [1, 2, 3, 4]

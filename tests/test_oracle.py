@@ -49,7 +49,6 @@ def test_joins_of_large_inputs_match_too(spark, oracle, small_limits, monkeypatc
     from mapweave.operators import skew
 
     monkeypatch.setattr(skew, "ROWS_PER_SLICE", 50)
-    monkeypatch.setattr(skew.split_join, "__defaults__", (False, 50))
     test_query_matches_oracle(spark, oracle, name)
 
 

@@ -19,30 +19,41 @@ def right(spark):
     return spark.createDataFrame([(1, "a"), (1, "b"), (7, "c"), (None, "d"), (99, "e")], "rk int, v string")
 
 
+@pytest.fixture
+def slices_of_20(monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_SLICE", 20)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_split_join_equals_plain_join(left, right, how, null_safe):
+def test_split_join_equals_plain_join(left, right, how, null_safe, slices_of_20):
     keys = [("k", "rk")]
     plain = left.join(right, skew.key_condition(keys, null_safe), how)
-    split = skew.split_join(left, right, keys, how, null_safe, rows_per_slice=20)
+    split = skew.split_join(left, right, keys, how, null_safe)
     assert split.columns == plain.columns
     assert rows(split) == rows(plain)
 
 
-def test_heavy_keys_are_spread_over_tasks(left, right):
+def test_heavy_keys_are_spread_over_tasks(left, right, slices_of_20):
     heavy = skew.heavy_keys(left.select("k"), ["k"], 20, "n")
     assert rows(heavy) == [(None, 15), (1, 16)]
-    split = skew.split_join(left, right, [("k", "rk")], "left", rows_per_slice=20)
+    split = skew.split_join(left, right, [("k", "rk")], "left")
     plan = split._jdf.queryExecution().optimizedPlan().toString()
     assert "xxhash64" in plan and "explode" in plan
 
 
 def test_heavy_keys_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(skew, "HEAVY_KEYS", 5)
+    monkeypatch.setattr(skew, "ROWS_PER_SLICE", 2)
     df = spark.range(1000).select((F.col("id") % 100).alias("k"))
     assert skew.heavy_keys(df, ["k"], 2, "n").count() == 5
     other = spark.range(100).select(F.col("id").alias("rk"))
-    assert skew.split_join(df, other, [("k", "rk")], "inner", rows_per_slice=2).count() == 1000
+    assert skew.split_join(df, other, [("k", "rk")], "inner").count() == 1000
+
+
+def test_no_heavy_keys_no_slices(left, right):
+    split = skew.split_join(left, right, [("k", "rk")], "left")
+    assert "xxhash64" not in split._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_small_inputs_get_the_plain_join(spark, left, right):
