@@ -449,53 +449,52 @@ SELECT DISTINCT o_orderpriority, 'w' FROM orders
 # --- dictionary --------------------------------------------------------------
 
 
-def _choice_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A choice list per order; one with a fully discounted line is malformed."""
-    choice = F.expr(
-        "concat(l_linenumber, '_', l_suppkey, CASE WHEN l_discount = 0.1 THEN ',' ELSE ', ' END,"
-        " l_returnflag, ', part ', l_partkey, ' ')"
-    )
-    return (
-        _table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.array_join(F.collect_list(choice), "| ").alias("choices"))
-    )
-
-
 def choice_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dictionary.explode_choices(_choice_lists(spark, sf_dir), "choices")
+    entries = _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        # A blank list, a malformed one (no space after a comma), or three choices.
+        "CASE WHEN l_discount = 0 THEN '' ELSE concat(' 1_', l_suppkey,"
+        " CASE WHEN l_discount = 0.1 THEN ',' ELSE ', ' END, l_returnflag, ', part ', l_partkey,"
+        " ' | 2 , ', l_linestatus, chr(9), '|  3, ') END AS choices",
+    )
+    return dictionary.explode_choices(entries, "choices")
 
 
-_CHOICES = """
-WITH bad AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_discount = 0.1),
-c AS (SELECT l_orderkey, concat(l_linenumber, '_', l_suppkey) AS index,
-    concat(l_returnflag, ', part ', l_partkey) AS description
-  FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM bad))
+CHOICE_EXPLODE = """
+WITH c AS (SELECT * FROM lineitem WHERE l_discount <> 0 AND l_discount <> 0.1)
+SELECT l_orderkey, l_linenumber, concat('1_', l_suppkey) AS index,
+       concat(l_returnflag, ', part ', l_partkey) AS description FROM c
+UNION ALL SELECT l_orderkey, l_linenumber, '2', l_linestatus FROM c
+UNION ALL SELECT l_orderkey, l_linenumber, '3', '' FROM c
 """
-CHOICE_EXPLODE = _CHOICES + " SELECT l_orderkey, index, description FROM c"
 
 
 def label_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = _choice_lists(spark, sf_dir).selectExpr(
-        "concat('order_', l_orderkey) AS field_name",
+    fields = _table(spark, sf_dir, "orders").selectExpr(
+        "concat('order_', o_orderkey) AS field_name",
         "'' AS field_label",
-        "choices AS select_choices_or_calculations",
+        "CASE o_orderstatus WHEN 'P' THEN '' ELSE concat('1, ', o_orderpriority, '| 2, ', o_custkey) END"
+        " AS select_choices_or_calculations",
     )
     members = _table(spark, sf_dir, "supplier").selectExpr(
         "concat('ctsa_', s_suppkey)", "s_name", "''"
     )
-    rules = _table(spark, sf_dir, "orders").selectExpr(
-        "array(concat('order_', o_orderkey), o_orderstatus) AS sources",
-        "nullif(o_orderstatus, 'P') AS table",
-        "o_orderpriority AS column",
+    rules = _table(spark, sf_dir, "lineitem").selectExpr(
+        "array(concat('order_', l_orderkey), 'order_1') AS sources",
+        "nullif(l_returnflag, 'N') AS table",
+        "l_linestatus AS column",
     )
     return dictionary.label_dimension(fields.union(members), rules)
 
 
-LABEL_DIM = _CHOICES + """
-SELECT nullif(o_orderstatus, 'P') AS "table", o_orderpriority AS "column", index, description,
+LABEL_DIM = """
+WITH c AS (SELECT o_orderkey, '1' AS index, o_orderpriority AS description FROM orders
+    WHERE o_orderstatus <> 'P'
+  UNION ALL SELECT o_orderkey, '2', cast(o_custkey AS varchar) FROM orders WHERE o_orderstatus <> 'P')
+SELECT nullif(l_returnflag, 'N') AS "table", l_linestatus AS "column", index, description,
        concat('order_', o_orderkey, '___', index) AS id
-FROM c JOIN orders ON o_orderkey = l_orderkey
+FROM c JOIN lineitem ON o_orderkey = l_orderkey
 UNION ALL
 SELECT 'Submitter', 'submitterInstitution', cast(s_suppkey AS varchar), s_name,
        concat('org_name___', s_suppkey)
