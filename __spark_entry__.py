@@ -361,7 +361,7 @@ WITH rec AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nullif(l_ret
   FROM lineitem),
 k AS (SELECT DISTINCT l_partkey, l_suppkey, flag FROM rec WHERE flag IS NOT NULL),
 i AS (SELECT *, row_number() OVER (ORDER BY
-    substr(md5(concat_ws(chr(31), l_partkey, l_suppkey, flag)), 1, 3), l_partkey, l_suppkey, flag) - 1
+    substr(md5(concat_ws(chr(31), l_partkey, l_suppkey, flag)), 1, 4), l_partkey, l_suppkey, flag) - 1
     AS gid FROM k)
 SELECT rec.*, gid FROM rec LEFT JOIN i USING (l_partkey, l_suppkey, flag)
 """
@@ -720,7 +720,7 @@ d AS (SELECT rec.*, n_name FROM rec
     WHERE blk.nk IS NOT DISTINCT FROM rec.nk AND blk.seg IS NOT DISTINCT FROM rec.seg)),
 k AS (SELECT DISTINCT seg, nk FROM d WHERE seg IS NOT NULL AND nk IS NOT NULL),
 i AS (SELECT *, row_number() OVER (
-    ORDER BY substr(md5(concat_ws(chr(31), seg, nk)), 1, 3), seg, nk) - 1 AS gid FROM k)
+    ORDER BY substr(md5(concat_ws(chr(31), seg, nk)), 1, 4), seg, nk) - 1 AS gid FROM k)
 """
 FLAGSHIP = _JOB + """,
 u AS (SELECT rid, 'mark___big' AS tag FROM d WHERE o_totalprice > 250000

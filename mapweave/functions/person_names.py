@@ -89,7 +89,9 @@ def _parts(name: Column) -> Column:
 
 def first_name(name: Column) -> Column:
     """The first name, or null where there is none."""
-    return F.nullif(F.substring_index(_parts(name), MARK, 1), F.lit(""))
+    first = F.substring_index(_parts(name), MARK, 1)
+    # Next to last_name in one projection the parts are worked out only once.
+    return F.when(first != "", first)
 
 
 def last_name(name: Column) -> Column:

@@ -62,7 +62,7 @@ def mapped_choices(dictionary: DataFrame, rules: DataFrame) -> DataFrame:
     first_sources = rules.select(
         F.try_element_at("sources", F.lit(1)).alias(source), "table", "column"
     )
-    return balanced_join(lists, first_sources, [("field_name", source)], "inner").drop(source)
+    return balanced_join(first_sources, lists, [(source, "field_name")], "inner").drop(source)
 
 
 def label_dimension(dictionary: DataFrame, rules: DataFrame, **members) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from mapweave.functions.expressions import field
 from mapweave.operators.skew import balanced_join, temp_name
 
-BUCKET_DIGITS = 3
+BUCKET_DIGITS = 4
 _UNIT_SEPARATOR = chr(31)
 
 
@@ -70,7 +70,8 @@ def attach_keys(
         *[field(p).alias(e) for p, e in zip(part_columns, entries, strict=True)],
         *[field(id_column).alias(c) for c in id_columns],
     )
-    return balanced_join(left, right, list(zip(names, entries)), "left").drop(*names, *entries)
+    joined = balanced_join(left, right, list(zip(names, entries)), "left", unique_right=True)
+    return joined.drop(*names, *entries)
 
 
 def generate_ids(

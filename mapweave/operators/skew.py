@@ -3,9 +3,9 @@
 A join first looks at sizes. When the inputs of the left side fit in one task no
 key can overload one, and when the right side is below the session's broadcast
 threshold Spark broadcasts it by itself; both get the plain join. Otherwise the
-left keys are counted. If some are heavy their rows are spread over numbered
-slices by a hash of the row, and the matching right rows are repeated once per
-slice. Every row still meets exactly its matches.
+keys are counted. If some are heavy on one side, their rows on that side are
+spread over numbered slices by a hash of the row, and the matching rows of the
+other side are repeated once per slice. Every row still meets exactly its matches.
 """
 
 from __future__ import annotations
@@ -88,25 +88,53 @@ def _with_slices(df: DataFrame, keys: list[str], heavy: DataFrame, slices: str)
     return df.join(F.broadcast(lookup), match, "left").drop(*names)
 
 
+def _sliced(
+    df: DataFrame, keys: list[str], own: DataFrame, own_slice: str, other: DataFrame, other_slice: str
+) -> DataFrame:
+    """Put each row in one slice of its own side and repeat it for those of the other."""
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    count = temp_name("count")
+    if own.isEmpty():
+        df = df.withColumn(own_slice, F.lit(0))
+    else:
+        slot = F.coalesce(F.pmod(row_hash, F.col(count)).cast("int"), F.lit(0))
+        df = _with_slices(df, keys, own, count).withColumn(own_slice, slot).drop(count)
+    if other.isEmpty():
+        return df.withColumn(other_slice, F.lit(0))
+    slots = F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1)
+    return _with_slices(df, keys, other, count).withColumn(other_slice, F.explode(slots)).drop(count)
+
+
 def split_join(
-    left: DataFrame, right: DataFrame, keys: list[tuple[str, str]], how: str, null_safe: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[tuple[str, str]],
+    how: str,
+    null_safe: bool = False,
+    unique_right: bool = False,
 ) -> DataFrame:
-    """Join with heavy left keys split; keeps all columns of both sides."""
+    """Join with heavy keys split; keeps all columns of both sides."""
     lefts, rights = [k for k, _ in keys], [k for _, k in keys]
-    heavy = heavy_keys(left, lefts, ROWS_PER_SLICE, temp_name("n"))
+    if how == "left_anti":
+        right, unique_right = right.select(*[F.col(f"`{k}`") for k in rights]).distinct(), True
+    heavy_left = heavy_keys(left, lefts, ROWS_PER_SLICE, temp_name("n"))
+    heavy_right = (
+        heavy_left.limit(0) if unique_right else heavy_keys(right, rights, ROWS_PER_SLICE, temp_name("n"))
+    )
     condition = key_condition(keys, null_safe)
-    if heavy.isEmpty():
+    if heavy_left.isEmpty() and heavy_right.isEmpty():
         return left.join(right, condition, how)
-    slices, l_slice, r_slice = temp_name("slices"), temp_name("slice"), temp_name("slice")
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    sliced = _with_slices(left, lefts, heavy, slices).withColumn(
-        l_slice, F.coalesce(F.pmod(row_hash, F.col(slices)).cast("int"), F.lit(0))
-    )
-    repeated = _with_slices(right, rights, heavy, slices).withColumn(
-        r_slice, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(slices), F.lit(1)) - 1))
-    )
-    condition = condition & (F.col(l_slice) == F.col(r_slice))
-    return sliced.drop(slices).join(repeated.drop(slices), condition, how).drop(l_slice, r_slice)
+    if how == "left" and not heavy_right.isEmpty():
+        # A repeated left row has a match in some slices only, so rows without
+        # any match are found by themselves.
+        matched = split_join(left, right, keys, "inner", null_safe)
+        unmatched = split_join(left, right, keys, "left_anti", null_safe)
+        return matched.unionByName(unmatched, allowMissingColumns=True)
+    l_slice, l_repeat, r_slice, r_repeat = (temp_name("slice") for _ in range(4))
+    left = _sliced(left, lefts, heavy_left, l_slice, heavy_right, l_repeat)
+    right = _sliced(right, rights, heavy_right, r_slice, heavy_left, r_repeat)
+    condition &= (F.col(l_slice) == F.col(r_repeat)) & (F.col(l_repeat) == F.col(r_slice))
+    return left.join(right, condition, how).drop(l_slice, l_repeat, r_slice, r_repeat)
 
 
 def key_condition(keys: list[tuple[str, str]], null_safe: bool) -> Column:
@@ -120,11 +148,13 @@ def balanced_join(
     keys: list[tuple[str, str]],
     how: str,
     null_safe: bool = False,
+    unique_right: bool = False,
 ) -> DataFrame:
     """Equi-join on differently named key pairs, split only where sizes call for it.
 
     ``how`` is inner, left or left_anti. The two sides share no column name.
+    ``unique_right`` says that no key comes twice on the right.
     """
     if fits_one_task(left) or will_broadcast(right):
         return left.join(right, key_condition(keys, null_safe), how)
-    return split_join(left, right, keys, how, null_safe)
+    return split_join(left, right, keys, how, null_safe, unique_right)

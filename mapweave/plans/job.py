@@ -23,6 +23,7 @@ from mapweave.operators import filters, keys, lists, reports, reshape
 from mapweave.plans import rules as rule_plans
 from mapweave.plans.rules import Rule
 from mapweave.sources import readers, writers
+from mapweave.sources.local import local_frame
 from mapweave.sources.storage import Staging
 
 log = logging.getLogger(__name__)
@@ -120,7 +121,7 @@ def column_reports(records: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Da
     spark = records.sparkSession
     groups = reshape.checkbox_groups(records.columns)
     names = reshape.plain_columns(records.columns) + list(groups)
-    present = spark.createDataFrame([(n,) for n in names], "column string")
+    present = local_frame(spark, [(n,) for n in names], T.StructType().add("column", "string"))
     mapped = rule_plans.mapped_fields(rule_plans.rules_frame(spark, rules))
     return reports.bag_difference(present, mapped), reports.bag_difference(mapped, present)
 

@@ -14,7 +14,7 @@ def people(spark, n=500):
     )
 
 
-def by_hand(pairs, digits=3):
+def by_hand(pairs, digits=4):
     """Ids of distinct pairs without a null."""
 
     def order(pair):

@@ -34,6 +34,18 @@ def test_split_join_equals_plain_join(left, right, how, null_safe, slices_of_20)
     assert rows(split) == rows(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_heavy_keys_on_both_sides(spark, left, how, null_safe, slices_of_20):
+    key = F.when(F.col("id") < 30, 1).when(F.col("id") < 60, 7)
+    many = spark.range(95).select(key.alias("rk"), F.col("id").alias("v"))
+    few = left.where("id < 200")
+    plain = few.join(many, skew.key_condition([("k", "rk")], null_safe), how)
+    split = skew.split_join(few, many, [("k", "rk")], how, null_safe)
+    assert split.columns == plain.columns
+    assert rows(split) == rows(plain)
+
+
 def test_heavy_keys_are_spread_over_tasks(left, right, slices_of_20):
     heavy = skew.heavy_keys(left.select("k"), ["k"], 20, "n")
     assert rows(heavy) == [(None, 15), (1, 16)]
