@@ -11,12 +11,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _CODE = r"\s*[0-9_]+\s*, "
-VALID_LIST = rf"\A\s*(?:{_CODE}[^|]*(?:\| {_CODE}[^|]*)*+)?\s*\z"
-_PART = r"(?s)\A\s*([0-9_]+)\s*, (.*)\z"
-_OUTER_BLANKS = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
+# A blank text is a list without choices, so it need not match.
+VALID_LIST = rf"\A{_CODE}[^|]*(?:\| {_CODE}[^|]*)*+\z"
+# Everything up to U+0020, as Java's trim.
+_BLANKS = "".join(map(chr, range(0x21)))
 
 
-def is_choice_list(text: Column) -> Column:
+def has_choices(text: Column) -> Column:
+    """Whether the text is a well-formed list of at least one choice."""
     return text.rlike(VALID_LIST)
 
 
@@ -26,9 +28,9 @@ def choice_parts(text: Column) -> Column:
 
 
 def choice_index(part: Column) -> Column:
-    """The code of one part, or "" when the part is blank."""
-    return F.regexp_extract(part, _PART, 1)
+    """The code of one part."""
+    return F.btrim(F.substring_index(part, ",", 1), F.lit(_BLANKS))
 
 
 def choice_description(part: Column) -> Column:
-    return F.regexp_replace(F.regexp_extract(part, _PART, 2), _OUTER_BLANKS, "")
+    return F.btrim(F.substr(part, F.instr(part, ",") + 1), F.lit(_BLANKS))

@@ -1,13 +1,9 @@
 r"""First and last names out of free-form person names.
 
-The whole rule is one regular expression replacement. The input of the pattern
-is ``<name>MARK<piece>``, where ``piece`` is the part of the name to try when
-the name itself does not parse, and its output is ``<first>MARK<last>``. One of
-three alternatives always matches:
-
-1. the name parses,
-2. the piece parses,
-3. neither does, and the last name is the whole input.
+A name is parsed by one regular expression replacement that turns it into
+``<first>MARK<last>`` and leaves it alone when it does not parse. In that case a
+piece of the name is tried in the same way, and when that does not parse either
+the last name is the whole input.
 
 Groups are atomic where the name format does not go back on a choice: in
 ``Mary Smith PhD`` the letters ``Ph`` are taken as a last name, so the name does
@@ -29,8 +25,7 @@ from mapweave.fixed_values import (
     WHOLE_NAMES,
 )
 
-# A private-use character keeps the parts apart. Names never hold one, and a
-# piece loses its own, so the last one in the input is the separator.
+# A private-use character no name holds.
 MARK = "\ue000"
 
 _WORD = r"(?>[a-zA-Z]+[a-z]+)"
@@ -39,65 +34,62 @@ _FIRST = rf"(?>{_NAME}|[a-zA-Z]\.?+)"
 _MIDDLE = rf"(?>\({_NAME}\)|{_FIRST})"
 _PREFIXES = f"(?>(?:{re.escape(NAME_PREFIX)})*+)".replace(r"\ ", " ")
 _TITLES = "(?:,? (?:" + "|".join(re.escape(t) for t in NAME_TITLES) + "))*+"
-_WHOLE = "|".join(WHOLE_NAMES)
+# Groups: a whole name, then first, last, first, last, last, first, last. A name
+# starting with one of the whole names is that name or does not parse.
+_NAME_PATTERN = (
+    rf"\A(?>({'|'.join(WHOLE_NAMES)})|{_PREFIXES}(?>({_FIRST}) {_MIDDLE} ({_NAME})"
+    rf"|({_FIRST}) ({_NAME})|({_NAME}), ({_FIRST})|({_NAME})){_TITLES} ?+)\z"
+)
+_PARTS = f"$1$2$4$7{MARK}$1$3$5$6$8"
 
 # Java's trim: everything up to U+0020.
-_BLANKS = r"[\x00-\x20]"
-
-
-def _forms(capture: str) -> str:
-    """The name forms; ``capture`` opens the groups around first and last names."""
-    first, last = f"{capture}{_FIRST})", f"{capture}{_NAME})"
-    return (
-        f"{_PREFIXES}(?>{first} {_MIDDLE} {last}|{first} {last}|{last}, {first}|{last}){_TITLES}"
-    )
-
-
-# A name starting with one of the whole names is that name or does not parse.
-# Java keeps groups set inside an atomic group that fails later, so a lookahead
-# without groups decides before any group is set.
-_ANY_NAME = f"(?>(?:{_WHOLE})|{_forms('(?:')})"
-_NAME_PARTS = f"(?:({_WHOLE})|{_forms('(')})"
-_IS_NAME = rf"(?={_ANY_NAME} ?+{MARK}[^{MARK}]*\z)"
-_IS_PIECE = rf"(?={_ANY_NAME}{_BLANKS}*\z)"
-# Groups: 1-8 for the name, 9-16 for the piece, 17 for neither. Of 8 groups the
-# first is a whole name, and the others are first, last, first, last, last,
-# first, last.
-_PATTERN = (
-    rf"(?s)\A(?:{_IS_NAME}{_NAME_PARTS}.*"
-    rf"|.*{MARK}{_BLANKS}*+{_IS_PIECE}{_NAME_PARTS}.*"
-    rf"|(.*){MARK}[^{MARK}]*)\z"
-)
-_REPLACEMENT = f"$1$2$4$7$9$10$12$15{MARK}$1$3$5$6$8$9$11$13$14$16$17"
+_BLANKS = "".join(map(chr, range(0x21)))
 
 WELL_FORMED_FIRST = rf"\A{_FIRST}\z"
 WELL_FORMED_LAST = rf"\A{_NAME}\z"
 
 
 def _piece(name: Column) -> Column:
-    """The part to try when the whole name does not parse ("" for none)."""
+    """The part to try when the whole name does not parse; null for none."""
     after = F.substring_index(F.substring_index(name, NAME_CUT_AFTER, 2), NAME_CUT_AFTER, -1)
     piece = F.when(name.contains(NAME_CUT_AFTER), after)
     for cut in NAME_CUTS_BEFORE:
         piece = piece.when(name.contains(cut), F.substring_index(name, cut, 1))
-    return F.translate(piece.otherwise(""), MARK, "!")
+    return F.btrim(piece, F.lit(_BLANKS))
+
+
+def _parse(name: Column) -> tuple[Column, Column]:
+    """The name with its parts marked, and whether it parsed.
+
+    The condition reads the marked name twice, which makes Spark keep it for the
+    branch that returns it.
+    """
+    marked = F.regexp_replace(name, _NAME_PATTERN, _PARTS)
+    return marked, (F.substring_index(marked, MARK, 1) != marked) & ~name.contains(MARK)
 
 
 def _parts(name: Column) -> Column:
-    return F.regexp_replace(F.concat(name, F.lit(MARK), _piece(name)), _PATTERN, _REPLACEMENT)
+    whole, whole_parsed = _parse(name)
+    piece, piece_parsed = _parse(_piece(name))
+    return (
+        F.when(whole_parsed, whole)
+        .when(piece_parsed, piece)
+        .otherwise(F.concat(F.lit(MARK), name))
+    )
 
 
 def first_name(name: Column) -> Column:
     """The first name, or null where there is none."""
     first = F.substring_index(_parts(name), MARK, 1)
-    # Next to last_name in one projection the parts are worked out only once.
-    return F.when(first != "", first)
+    # Blank to null without a condition, so that the parts are worked out once,
+    # also together with last_name.
+    return F.try_element_at(F.array_remove(F.array(first), ""), F.lit(1))
 
 
 def last_name(name: Column) -> Column:
     """The last name; the whole input where no name can be read."""
-    # The first part never holds a MARK, so cutting it off leaves the last.
-    return F.regexp_replace(_parts(name), rf"\A[^{MARK}]*{MARK}", "")
+    parts = _parts(name)
+    return F.substr(parts, F.locate(MARK, parts) + 1)
 
 
 def is_well_formed_first(name: Column) -> Column:
@@ -108,20 +100,34 @@ def is_well_formed_last(name: Column) -> Column:
     return name.rlike(WELL_FORMED_LAST)
 
 
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _sql_piece() -> str:
-    cut = NAME_CUT_AFTER
+    cut = _sql_text(NAME_CUT_AFTER)
     branches = [
-        f"WHEN contains(x, '{cut}') "
-        f"THEN substring_index(substring_index(x, '{cut}', 2), '{cut}', -1)"
+        f"WHEN contains(x, {cut}) THEN substring_index(substring_index(x, {cut}, 2), {cut}, -1)"
     ]
-    branches += [f"WHEN contains(x, '{c}') THEN substring_index(x, '{c}', 1)" for c in NAME_CUTS_BEFORE]
-    return f"translate(CASE {' '.join(branches)} ELSE '' END, '{MARK}', '!')"
+    for text in map(_sql_text, NAME_CUTS_BEFORE):
+        branches.append(f"WHEN contains(x, {text}) THEN substring_index(x, {text}, 1)")
+    return f"btrim(CASE {' '.join(branches)} END, {_sql_text(_BLANKS)})"
+
+
+def _sql_parts() -> str:
+    mark = _sql_text(MARK)
+    branches = []
+    for text in ("x", _sql_piece()):
+        marked = f"regexp_replace({text}, {_sql_text(_NAME_PATTERN)}, {_sql_text(_PARTS)})"
+        parsed = f"substring_index({marked}, {mark}, 1) <> {marked} AND NOT contains({text}, {mark})"
+        branches.append(f"WHEN {parsed} THEN {marked}")
+    return f"CASE {' '.join(branches)} ELSE concat({mark}, x) END"
 
 
-_SQL_PARTS = f"regexp_replace(concat(x, '{MARK}', {_sql_piece()}), r'{_PATTERN}', '{_REPLACEMENT}')"
+# The same as first_name and last_name, for SQL text.
 NAME_FUNCTIONS_SQL = (
-    "CREATE OR REPLACE TEMPORARY FUNCTION person_first_name(x STRING) RETURNS STRING "
-    f"RETURN nullif(substring_index({_SQL_PARTS}, '{MARK}', 1), '')",
-    "CREATE OR REPLACE TEMPORARY FUNCTION person_last_name(x STRING) RETURNS STRING "
-    rf"RETURN regexp_replace({_SQL_PARTS}, r'\A[^{MARK}]*{MARK}', '')",
+    "CREATE OR REPLACE TEMPORARY FUNCTION person_first_name(x STRING) RETURNS STRING RETURN "
+    f"try_element_at(array_remove(array(substring_index({_sql_parts()}, {_sql_text(MARK)}, 1)), ''), 1)",
+    "CREATE OR REPLACE TEMPORARY FUNCTION person_last_name(x STRING) RETURNS STRING RETURN "
+    f"substr({_sql_parts()}, locate({_sql_text(MARK)}, {_sql_parts()}) + 1)",
 )

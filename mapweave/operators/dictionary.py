@@ -10,7 +10,7 @@ from mapweave.functions.choices import (
     choice_description,
     choice_index,
     choice_parts,
-    is_choice_list,
+    has_choices,
 )
 from mapweave.functions.expressions import field
 from mapweave.operators.skew import balanced_join, temp_name
@@ -23,14 +23,13 @@ def explode_choices(
     part = temp_name("part")
     kept = [field(c) for c in entries.columns if c != list_column]
     return (
-        entries.where(is_choice_list(field(list_column)))
+        entries.where(has_choices(field(list_column)))
         .select(*kept, F.explode(choice_parts(field(list_column))).alias(part))
         .select(
             *kept,
             choice_index(F.col(part)).alias(index_column),
             choice_description(F.col(part)).alias(label_column),
         )
-        .where(field(index_column) != "")
     )
 
 
@@ -54,20 +53,22 @@ def member_rows(
 
 
 def mapped_choices(dictionary: DataFrame, rules: DataFrame) -> DataFrame:
-    """Choice lists of dictionary fields that are the first source of a rule."""
+    """Choices of dictionary fields that are the first source of a rule, once per rule."""
     source = temp_name("source")
-    lists = dictionary.where(F.col("select_choices_or_calculations") != "").select(
-        "field_name", "select_choices_or_calculations"
+    # Lists are taken apart before the join, so each is read once.
+    choices = explode_choices(
+        dictionary.select("field_name", "select_choices_or_calculations"),
+        "select_choices_or_calculations",
     )
     first_sources = rules.select(
         F.try_element_at("sources", F.lit(1)).alias(source), "table", "column"
     )
-    return balanced_join(first_sources, lists, [(source, "field_name")], "inner").drop(source)
+    return balanced_join(first_sources, choices, [(source, "field_name")], "inner").drop(source)
 
 
 def label_dimension(dictionary: DataFrame, rules: DataFrame, **members) -> DataFrame:
     """The dimension that decodes checkbox values: table, column, index, description, id."""
-    choices = explode_choices(mapped_choices(dictionary, rules), "select_choices_or_calculations")
+    choices = mapped_choices(dictionary, rules)
     rows = choices.unionByName(member_rows(dictionary, **members))
     code = F.concat(F.col("field_name"), F.lit(fixed.CHECKBOX_SEPARATOR), F.col("index"))
     return rows.select("table", "column", "index", "description", code.alias("id"))

@@ -235,9 +235,10 @@ def read_inputs(spark: SparkSession, files: JobFiles) -> Inputs:
 
 
 def run_job(spark: SparkSession, files: JobFiles, count_rows: bool = False) -> dict[str, int]:
-    """Read, map and write; staged tables are removed when the outputs are written."""
+    """Read, map and write; staged tables are removed in the end."""
     inputs = read_inputs(spark, files)
     staging = Staging(spark)
-    counts = write_outputs(MappedRecords(inputs, staging), files.output, count_rows)
-    staging.remove()
-    return counts
+    try:
+        return write_outputs(MappedRecords(inputs, staging), files.output, count_rows)
+    finally:
+        staging.remove()

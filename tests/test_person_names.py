@@ -32,6 +32,10 @@ CASES = {
     "unknown": ("unknown", "unknown"),
     "Pending": ("Pending", "Pending"),
     "unknown x": (None, "unknown x"),
+    "unknown ": (None, "unknown "),
+    "unknown Smith": (None, "unknown Smith"),
+    "7-unknown ": ("unknown", "unknown"),
+    "Pendingx": (None, "Pendingx"),
     "unknown, x": ("unknown", "unknown"),
     "Pending/7": ("Pending", "Pending"),
     "Foo-": (None, "Foo-"),
