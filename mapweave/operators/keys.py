@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from mapweave.functions.expressions import field
 from mapweave.operators.skew import balanced_join, temp_name
 
-BUCKET_DIGITS = 4
+BUCKET_DIGITS = 3
 _UNIT_SEPARATOR = chr(31)
 
 
