@@ -131,15 +131,19 @@ def project_rules(records: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 def selected(rules: DataFrame) -> DataFrame:
     """Rules marked for use, with only the columns that matter."""
     return rules.where(F.col("initialize") == "yes").select(
-        "ordinal", "table", "column", "kind", "args", "reads", "type", "primary"
+        "ordinal", "table", "column", "kind", "sources", "args", "type", "primary"
     )
 
 
 def read_rules(spark: SparkSession, path: str) -> list[Rule]:
-    """Read rule rows from a JSON array, in ordinal order."""
+    """Read rule rows from a JSON array, in ordinal order.
+
+    Only rows with ``initialize`` set to yes are used. ``primary`` is yes or true
+    for key columns, and ``sources`` is needed for the kind expr alone.
+    """
     schema = (
         "initialize string, ordinal int, table string, column string, kind string, "
-        "args array<string>, reads array<string>, type string, primary string"
+        "sources array<string>, args array<string>, type string, primary string"
     )
     rows = selected(spark.read.json(path, schema=schema, multiLine=True, mode="FAILFAST"))
     return [
@@ -149,8 +153,8 @@ def read_rules(spark: SparkSession, path: str) -> list[Rule]:
             kind=r["kind"],
             args=tuple(r["args"] or ()),
             type=r["type"],
-            primary=r["primary"] == "yes",
-            reads=tuple(r["reads"] or ()),
+            primary=r["primary"] in ("yes", "true"),
+            reads=tuple(r["sources"] or ()),
         )
         for r in rows.orderBy("ordinal", "table", "column").collect()
     ]

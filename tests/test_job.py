@@ -69,9 +69,9 @@ RULES = [
     rule("applicant", "last", "last_name", ["contact"]),
     rule("applicant", "kind", "if_equal", ["contact", '"unknown"', '"none"', '"person"']),
     rule("applicant", "later", "none", type=None),
-    rule("area", "ProposalID", "field", ["proposal_id"], "int", "yes"),
+    rule("area", "ProposalID", "field", ["proposal_id"], "int", True),
     rule("area", "area", "field", ["area"], primary="yes"),
-    rule("area", "upper_title", "expr", ["upper(proposal_title2)"], reads=["proposal_title2"]),
+    rule("area", "upper_title", "expr", ["upper(proposal_title2)"], sources=["proposal_title2"]),
     rule("gone", "gone", "field", ["no_such_column"]),
     rule(None, "loose", "field", ["org"]),
     rule("proposal", "skipped", "field", ["leftover"], initialize="no"),
@@ -213,5 +213,6 @@ def test_rules_come_in_ordinal_order(spark, files):
     rules = read_rules(spark, files.rules)
     assert len(rules) == len(RULES) - 1
     assert [r.column for r in rules[:3]] == ["ProposalID", "applicant", "start"]
-    assert rules[0].primary and not rules[1].primary
+    assert [r.primary for r in rules[:2]] == [True, False]
+    assert [r.primary for r in rules if r.table == "area"] == [True, True, False]
     assert rules[14].reads == ("proposal_title2",)
