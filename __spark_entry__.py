@@ -6,6 +6,8 @@ dictionaries are derived from them by plain projections.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -772,9 +774,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return flagship(spark, SMOKE_DIR)
 
 
+def _training_data() -> list:
+    """The modules of the training-data operators that are present."""
+    if importlib.util.find_spec("mapweave.llm") is None:
+        return []
+    names = ["mapweave.llm.queries", "corpus_pipeline"]
+    return [importlib.import_module(n) for n in names if importlib.util.find_spec(n)]
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in _QUERIES.items()}
+    found = {name: query for name, (query, _) in _QUERIES.items()}
+    for module in _training_data():
+        found |= module.queries()
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _QUERIES.items()}
+    found = {name: sql for name, (_, sql) in _QUERIES.items()}
+    for module in _training_data():
+        found |= module.oracle_sql()
+    return found
