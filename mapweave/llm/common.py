@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,20 @@ from mapweave.sources.storage import Staging
 ROWS_PER_BUCKET = 50_000
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver did.
+
+    Enough where they see the same file system; on other clusters the package is
+    shipped with the job (``--py-files``).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import common, decontaminate
+from mapweave.llm import common, decontaminate, mixing, sharding, token_file, warc
+
+
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(common.table(spark, sf_dir, "documents"))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,11 +58,48 @@ FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
 """
 
 
+def op5_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(common.table(spark, sf_dir, "documents"))
+
+
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    path = common.staging(docs).folder("tokens")
+    token_file.write_tokens(docs, path)
+    return token_file.read_tokens(spark, path)
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.table(spark, sf_dir, "pages")
+    path = common.staging(pages).folder("archives")
+    warc.write_archives(pages, path)
+    return warc.read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP7 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT *, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS original FROM p)
+SELECT page_id, cast(octet_length(encode(body)) AS bigint) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           cast((cast('0x' || substr(hex, cast(5 * (i // 4) + 1 AS bigint), 5) AS bigint) >> cast(15 - 5 * (i % 4) AS bigint)) & 31 AS bigint) + 1, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to
+FROM d
+"""
+
+
 def queries() -> dict:
     return {
+        "op1_source_mixing": op1_source_mixing,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
+        "op5_stratified_sharding": op5_stratified_sharding,
+        "op6_token_output": op6_token_output,
+        "op7_warc": op7_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_benchmark_decontamination": OP4}
+    return {"op4_benchmark_decontamination": OP4, "op7_warc": OP7}
