@@ -5,13 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import common, decontaminate, mixing, sharding, token_file, warc
+from mapweave.llm import common, decontaminate, mixing, sharding, simhash, token_file, topk, warc
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents"))
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    found = simhash.near_duplicates(docs, keep=["doc_id"])
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), simhash.hex_digits().alias("fingerprint"), "component_id"
+    )
+
+
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(common.table(spark, sf_dir, "embeddings"))
+
+
+OP3 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * cast(x AS double))) AS vec FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, cast(list_inner_product(q.vec, c.vec) AS bigint) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, cast(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS int) AS rank,
+       vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, common.table(spark, sf_dir, "benchmark"))
@@ -94,6 +119,8 @@ FROM d
 def queries() -> dict:
     return {
         "op1_source_mixing": op1_source_mixing,
+        "op2_simhash_near_dedup": op2_simhash_near_dedup,
+        "op3_exact_top_k": op3_exact_top_k,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_stratified_sharding": op5_stratified_sharding,
         "op6_token_output": op6_token_output,
@@ -102,4 +129,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_benchmark_decontamination": OP4, "op7_warc": OP7}
+    return {"op3_exact_top_k": OP3, "op4_benchmark_decontamination": OP4, "op7_warc": OP7}
