@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import common, decontaminate, mixing, sharding, simhash, token_file, topk, warc
+from mapweave.llm import common, decontaminate, labelled, mixing, quality, sharding, simhash, token_file, topk, toxicity, warc
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +116,27 @@ FROM d
 """
 
 
+def _judged(found: DataFrame, cut: float) -> DataFrame:
+    return found.select("row.doc_id", "score").select(
+        "doc_id",
+        labelled.is_held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= cut).cast("int").alias("predicted"),
+    )
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    model = quality.learned(docs, common.table(spark, sf_dir, "labels"))
+    return _judged(quality.scored(docs, model, keep=["doc_id"]), quality.CUT)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    model = toxicity.learned(docs, common.table(spark, sf_dir, "labels"))
+    return _judged(toxicity.scored(docs, model, keep=["doc_id"]), toxicity.CUT)
+
+
 def queries() -> dict:
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -125,6 +146,8 @@ def queries() -> dict:
         "op5_stratified_sharding": op5_stratified_sharding,
         "op6_token_output": op6_token_output,
         "op7_warc": op7_warc,
+        "op8_quality_classifier": op8_quality_classifier,
+        "op9_toxicity": op9_toxicity,
     }
 
 
