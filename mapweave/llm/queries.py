@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import common, decontaminate, labelled, mixing, quality, sharding, simhash, token_file, topk, toxicity, warc
+from mapweave.llm import common, decontaminate, labelled, masked_lm, mixing, quality, sharding, simhash, token_file, topk, toxicity, warc
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +137,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.scored(docs, model, keep=["doc_id"]), toxicity.CUT)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    found = masked_lm.pseudo_likelihood(docs, keep=["doc_id"])
+    per_word = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
+    return found.select("row.doc_id", "n_words", "log_likelihood", per_word.alias("per_word"))
+
+
 def queries() -> dict:
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -148,6 +155,7 @@ def queries() -> dict:
         "op7_warc": op7_warc,
         "op8_quality_classifier": op8_quality_classifier,
         "op9_toxicity": op9_toxicity,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 
