@@ -169,7 +169,10 @@ def top_k(
         state = stage.cut(
             state.join(kth, "query", "left").select(
                 "query",
-                (F.col("low") + F.coalesce("bin", F.lit(0)) * width).alias("low"),
+                # Steps of the widest interval do not fit in 64 bits by themselves.
+                (F.col("low").cast("decimal(38,0)") + F.coalesce("bin", F.lit(0)).cast("decimal(18,0)") * F.lit(width).cast("decimal(19,0)"))
+                .cast("long")
+                .alias("low"),
                 (F.col("above") + F.coalesce("over", F.lit(0))).alias("above"),
             )
         )
