@@ -17,10 +17,10 @@ from mapweave.functions import expressions as ex
 from mapweave.operators import dictionary, filters, keys, lists, reports, reshape
 from mapweave.plans import rules as rule_plans
 from mapweave.plans.job import Inputs, MappedRecords, cast_records
-from mapweave.plans.rules import Rule, project_rules
-from mapweave.sources.readers import read_json_strings
+from mapweave.plans.rules import Rule, node, project_rules
+from mapweave.sources.readers import read_json_strings, read_lists
 from mapweave.sources.storage import Staging
-from mapweave.sources.writers import write_csv
+from mapweave.sources.writers import write_csv, write_report, write_tables
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -42,6 +42,9 @@ def cast_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date_format(o_orderdate, 'yyyy-MM-dd') AS day",
         "o_orderpriority AS bad_day",
         "CASE o_orderstatus WHEN 'F' THEN 'yes' WHEN 'O' THEN '0' ELSE 'maybe' END AS done",
+        "CASE o_orderstatus WHEN 'P' THEN ' Y ' ELSE o_orderpriority END AS bad_done",
+        "'' AS blank_done",
+        "'' AS blank_day",
         "o_orderstatus AS status",
     )
     types = {
@@ -52,6 +55,9 @@ def cast_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
         "day": "date",
         "bad_day": "date",
         "done": "boolean",
+        "bad_done": "boolean",
+        "blank_done": "boolean",
+        "blank_day": "date",
         "status": "text",
     }
     rules = [Rule("t", c, "field", (c,), t) for c, t in types.items()]
@@ -63,6 +69,8 @@ SELECT o_orderkey, cast(left(o_orderpriority, 1) AS int) AS level, cast(NULL AS
        cast(trunc(o_totalprice) AS int) AS price, cast(NULL AS int) AS blank,
        cast(o_orderdate AS date) AS day, cast(NULL AS date) AS bad_day,
        CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS done,
+       CASE o_orderstatus WHEN 'P' THEN true END AS bad_done, cast(NULL AS boolean) AS blank_done,
+       cast(NULL AS date) AS blank_day,
        o_orderstatus AS status
 FROM orders
 """
@@ -88,10 +96,19 @@ def blank_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
         Rule("t", "chained", "first_nonblank", ("note", '""', "priority")),
         Rule("t", "level", "first_nonblank", ("known_level", "level")),
         Rule("t", "mixed", "first_nonblank", ("known_level", '"unknown"')),
-        Rule("t", "nested", "expr", ("first_nonblank(note, first_nonblank('', status))",),
-             reads=("note", "status")),
+        Rule("t", "nested", "first_nonblank", ("note", node("first_nonblank", '""', "status"))),
+    ]
+    return project_rules(_order_records(spark, sf_dir), rules)
+
+
+def nested_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [
+        Rule("t", "o_orderkey", "field", ("o_orderkey",)),
+        Rule("t", "level", "first_nonblank", ("known_level", node("first_nonblank", "known_level", "level"))),
+        Rule("t", "same", "if_equal", (node("first_nonblank", "known_level", "level"), '"five"', '"yes"', '"no"')),
+        Rule("t", "low", "if_equal", (node("first_nonblank", "known_level", "level"), '"5"', node("literal", '"low"'), "status")),
+        Rule("t", "name", "last_name", (node("first_nonblank", "note", node("if_equal", "status", '"P"', '"Mary Smith"', "status")),)),
     ]
-    ex.register_functions(spark)
     return project_rules(_order_records(spark, sf_dir), rules)
 
 
@@ -112,6 +129,15 @@ FROM rec
 """
 
 
+NESTED_RULES = _ORDER_RECORDS + """
+SELECT DISTINCT o_orderkey, coalesce(known_level, level) AS level, 'no' AS same,
+       CASE WHEN coalesce(known_level, level) = 5 THEN 'low' ELSE status END AS low,
+       CASE WHEN status = 'P' THEN 'Smith' WHEN nullif(note, '') IS NULL THEN status
+         ELSE note END AS name
+FROM rec
+"""
+
+
 def if_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [
         Rule("t", "o_orderkey", "field", ("o_orderkey",)),
@@ -179,15 +205,14 @@ def person_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         Rule("t", "p_partkey", "field", ("p_partkey",)),
         Rule("t", "first", "first_name", ("full_name",)),
         Rule("t", "last", "last_name", ("full_name",)),
-        Rule("t", "first_in_sql", "expr", ("person_first_name(full_name)",), reads=("full_name",)),
+        Rule("t", "first_of_nested", "first_name", (node("first_nonblank", '""', "full_name"),)),
     ]
-    ex.register_functions(spark)
     return project_rules(names, rules)
 
 
 PERSON_NAME = f"""
 SELECT p_partkey, {_spelled(2, chr(39))} AS first, {_spelled(3, chr(39))} AS last,
-       {_spelled(2, chr(39))} AS first_in_sql
+       {_spelled(2, chr(39))} AS first_of_nested
 FROM ({_NAME_WORDS} FROM part)
 """
 
@@ -280,16 +305,16 @@ def enrich_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS rid", "cast(o_custkey AS int) AS custkey", "o_orderstatus AS status"
     )
-    customer = _table(spark, sf_dir, "customer").where("c_acctbal > 0")
-    by_customer = customer.selectExpr(
-        "cast(c_custkey AS string) AS custkey", "cast(c_nationkey AS string) AS nk", "'a' AS copy"
+    # Entries with a blank key match nothing, so some records stay unmatched.
+    by_customer = _table(spark, sf_dir, "customer").selectExpr(
+        "CASE WHEN c_acctbal > 0 THEN cast(c_custkey AS string) END AS custkey",
+        "cast(c_nationkey AS string) AS nk",
+        "explode(CASE WHEN c_mktsegment = 'BUILDING' THEN array('a', 'b') ELSE array('a') END) AS copy",
     )
-    twice = customer.where("c_mktsegment = 'BUILDING'").selectExpr(
-        "cast(c_custkey AS string)", "cast(c_nationkey AS string)", "'b'"
+    by_nation = _table(spark, sf_dir, "nation").selectExpr(
+        "CASE WHEN n_regionkey < 3 THEN cast(n_nationkey AS string) END AS nk", "n_name AS nation"
     )
-    nation = _table(spark, sf_dir, "nation").where("n_regionkey < 3")
-    by_nation = nation.selectExpr("cast(n_nationkey AS string) AS nk", "n_name AS nation")
-    return lists.enrich_all([by_customer.union(twice), by_nation])(records).kept
+    return lists.enrich_all([by_customer, by_nation])(records).kept
 
 
 ENRICH_LEFT = """
@@ -363,7 +388,7 @@ WITH rec AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nullif(l_ret
   FROM lineitem),
 k AS (SELECT DISTINCT l_partkey, l_suppkey, flag FROM rec WHERE flag IS NOT NULL),
 i AS (SELECT *, row_number() OVER (ORDER BY
-    substr(md5(concat_ws(chr(31), l_partkey, l_suppkey, flag)), 1, 3), l_partkey, l_suppkey, flag) - 1
+    md5(concat_ws(chr(31), l_partkey, l_suppkey, flag)), l_partkey, l_suppkey, flag) - 1
     AS gid FROM k)
 SELECT rec.*, gid FROM rec LEFT JOIN i USING (l_partkey, l_suppkey, flag)
 """
@@ -589,7 +614,7 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 def bag_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _table(spark, sf_dir, "lineitem")
     present = lineitem.selectExpr("concat('part_', l_partkey) AS column")
-    mapped = lineitem.where("l_returnflag = 'R'").selectExpr("concat('part_', l_partkey) AS column")
+    mapped = lineitem.selectExpr("concat(CASE l_returnflag WHEN 'R' THEN 'part_' ELSE 'other_' END, l_partkey) AS column")
     mapped = mapped.union(_table(spark, sf_dir, "part").selectExpr("p_name"))
     unknown = reports.bag_difference(present, mapped).withColumn("report", F.lit("unknown"))
     missing = reports.bag_difference(mapped, present).withColumn("report", F.lit("missing"))
@@ -598,7 +623,7 @@ def bag_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BAG_DIFF = """
 WITH p AS (SELECT concat('part_', l_partkey) AS "column" FROM lineitem),
-m AS (SELECT concat('part_', l_partkey) AS "column" FROM lineitem WHERE l_returnflag = 'R'
+m AS (SELECT concat(CASE l_returnflag WHEN 'R' THEN 'part_' ELSE 'other_' END, l_partkey) AS "column" FROM lineitem
   UNION ALL SELECT p_name FROM part)
 SELECT "column", 'unknown' AS report FROM (SELECT * FROM p EXCEPT ALL SELECT * FROM m)
 UNION ALL SELECT "column", 'missing' FROM (SELECT * FROM m EXCEPT ALL SELECT * FROM p)
@@ -607,7 +632,7 @@ UNION ALL SELECT "column", 'missing' FROM (SELECT * FROM m EXCEPT ALL SELECT * F
 
 def set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = _table(spark, sf_dir, "orders").selectExpr("o_custkey AS column")
-    known = _table(spark, sf_dir, "customer").where("c_acctbal > 0").selectExpr("c_custkey")
+    known = _table(spark, sf_dir, "customer").selectExpr("CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey END")
     return reports.set_difference(ordered, known)
 
 
@@ -679,10 +704,10 @@ def _job_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         "nullif(c_mktsegment, 'MACHINERY') AS seg",
     )
     nation = _table(spark, sf_dir, "nation")
-    names = nation.where("n_regionkey < 4").selectExpr("cast(n_nationkey AS string) AS nk", "n_name")
-    listed = nation.where("n_nationkey < 20").selectExpr("cast(n_nationkey AS string) AS nk")
-    blocked = _table(spark, sf_dir, "supplier").where("s_acctbal < 0").selectExpr(
-        "cast(s_nationkey AS string) AS nk",
+    names = nation.selectExpr("CASE WHEN n_regionkey < 4 THEN cast(n_nationkey AS string) END AS nk", "n_name")
+    listed = nation.selectExpr("CASE WHEN n_nationkey < 20 THEN cast(n_nationkey AS string) END AS nk")
+    blocked = _table(spark, sf_dir, "supplier").selectExpr(
+        "CASE WHEN s_acctbal < 0 THEN cast(s_nationkey AS string) ELSE 'none' END AS nk",
         "CASE WHEN s_nationkey < 10 THEN NULL ELSE 'HOUSEHOLD' END AS seg",
     )
     rules = [
@@ -701,11 +726,91 @@ def _job_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MappedRecords(_job_inputs(spark, sf_dir)).mapped_tables["order_fact"]
+    return MappedRecords(_job_inputs(spark, sf_dir), Staging(spark)).mapped_tables["order_fact"]
+
+
+def nested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inputs = _job_inputs(spark, sf_dir)
+    inputs.rules += [
+        Rule("order_fact", "nested_id", "generate_id",
+             (node("first_nonblank", "note", "status"), node("if_equal", "seg", '"HOUSEHOLD"', '"home"', "nk"))),
+    ]
+    mapped = MappedRecords(inputs, Staging(spark))
+    return mapped.records_with_ids.select("rid", "nested_id")
+
+
+def chain_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "CASE p_type WHEN 'PROMO' THEN 'visit' ELSE '' END AS instrument",
+        "CASE WHEN p_size > 40 THEN 2 END AS instance",
+        "CASE WHEN p_size < 10 THEN p_brand ELSE p_name END AS title", "p_name AS first", "p_name AS last",
+    )
+    stages = [
+        ("primary", filters.primary_records("instrument", "instance")),
+        ("all", filters.keep_all),
+        ("test", filters.split_test_records("title", "first", "last")),
+    ]
+    kept, rejects = filters.run_stages(records, stages)
+    found = kept.withColumn("stage", F.lit("kept"))
+    for name, rows in rejects.items():
+        found = found.unionByName(rows.withColumn("stage", F.lit(name)))
+    return found.select("p_partkey", "title", "stage")
+
+
+def rules_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = _table(spark, sf_dir, "part").selectExpr(
+        "CASE WHEN p_size % 2 = 0 THEN 'yes' WHEN p_size % 3 = 0 THEN NULL ELSE 'no' END AS initialize",
+        "p_size AS ordinal", "p_brand AS table", "p_name AS column", "'field' AS kind",
+        "array(p_type) AS sources", "array(p_type) AS args", "'text' AS type", "'yes' AS primary", "p_partkey AS note",
+    )
+    return rule_plans.selected(rules).selectExpr("ordinal", "table", "column", "kind", "args[0] AS arg", "type", "primary")
+
+
+def lists_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _table(spark, sf_dir, "orders").selectExpr("o_orderkey", "cast(o_custkey AS int) AS custkey")
+    path = Staging(spark).folder("lists")
+    customer = _table(spark, sf_dir, "customer").selectExpr(
+        "CASE WHEN c_acctbal > 0 THEN c_custkey END AS custkey", "cast(c_nationkey AS string) AS nk"
+    )
+    write_csv(customer, f"{path}/1_customer")
+    write_csv(_table(spark, sf_dir, "nation").selectExpr("n_nationkey AS nk", "n_name AS nation"), f"{path}/2_nation")
+    return lists.enrich_all(read_lists(spark, path))(records).kept
+
+
+def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "nation").selectExpr(
+        "struct(n_nationkey, nullif(n_name, 'FRANCE') AS name, n_regionkey > 2 AS far) AS r", "n_regionkey"
+    )
+    arrays = rows.groupBy("n_regionkey").agg(F.to_json(F.collect_list("r")).alias("value")).select("value")
+    path = Staging(spark).folder("records_array")
+    # One array document per file.
+    arrays.repartitionByRange(64, "value").write.option("maxRecordsPerFile", 1).text(path)
+    return read_json_strings(spark, path)
+
+
+def tables_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Staging(spark).folder("out")
+    write_tables({"part": _table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "nation": _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")}, path)
+    part, nation = (spark.read.csv(f"{path}/tables/{t}", header=True) for t in ("part", "nation"))
+    return part.toDF("key", "label").withColumn("table", F.lit("part")).union(nation.withColumn("table", F.lit("nation")))
+
+
+def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Staging(spark).folder("report")
+    write_report(_table(spark, sf_dir, "part").selectExpr("concat(p_name, ', ', p_brand) AS column"), path)
+    return spark.read.csv(path, schema="column string", escape='"')
+
+
+def counted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem, observed = reports.counted(_table(spark, sf_dir, "lineitem").select("l_orderkey"), "lineitem_rows")
+    path = Staging(spark).folder("counted")
+    lineitem.write.parquet(path)
+    written = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("written"))
+    return written.withColumn("counted", F.lit(observed.get["rows"]).cast("long"))
 
 
 def shared_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return MappedRecords(_job_inputs(spark, sf_dir)).mapped_tables["market"]
+    return MappedRecords(_job_inputs(spark, sf_dir), Staging(spark)).mapped_tables["market"]
 
 
 _JOB = """
@@ -722,7 +827,7 @@ d AS (SELECT rec.*, n_name FROM rec
     WHERE blk.nk IS NOT DISTINCT FROM rec.nk AND blk.seg IS NOT DISTINCT FROM rec.seg)),
 k AS (SELECT DISTINCT seg, nk FROM d WHERE seg IS NOT NULL AND nk IS NOT NULL),
 i AS (SELECT *, row_number() OVER (
-    ORDER BY substr(md5(concat_ws(chr(31), seg, nk)), 1, 3), seg, nk) - 1 AS gid FROM k)
+    ORDER BY md5(concat_ws(chr(31), seg, nk)), seg, nk) - 1 AS gid FROM k)
 """
 FLAGSHIP = _JOB + """,
 u AS (SELECT rid, 'mark___big' AS tag FROM d WHERE o_totalprice > 250000
@@ -730,6 +835,38 @@ u AS (SELECT rid, 'mark___big' AS tag FROM d WHERE o_totalprice > 250000
 SELECT rid, tag, gid, coalesce(nullif(note, ''), status) AS label, n_name AS nation
 FROM u JOIN d USING (rid) LEFT JOIN i USING (seg, nk)
 """
+NESTED_IDS = _JOB + """,
+n AS (SELECT rid, coalesce(nullif(note, ''), status) AS p0,
+    CASE WHEN seg = 'HOUSEHOLD' THEN 'home' ELSE nk END AS p1 FROM d),
+m AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(chr(31), p0, p1)), p0, p1) - 1 AS nested_id
+  FROM (SELECT DISTINCT p0, p1 FROM n WHERE p0 IS NOT NULL AND p1 IS NOT NULL))
+SELECT rid, nested_id FROM n LEFT JOIN m USING (p0, p1)
+"""
+CHAIN_REJECTS = """
+SELECT p_partkey, CASE WHEN p_size < 10 THEN p_brand ELSE p_name END AS title, 'test' AS stage
+FROM part WHERE p_type <> 'PROMO' AND p_size <= 40
+"""
+RULES_SELECTED = """
+SELECT p_size AS ordinal, p_brand AS "table", p_name AS "column", 'field' AS kind, p_type AS arg, 'text' AS type,
+       'yes' AS "primary"
+FROM part WHERE p_size % 2 = 0
+"""
+LISTS_FROM_FILES = """
+SELECT o_orderkey, cast(o_custkey AS int) AS custkey, cast(c_nationkey AS varchar) AS nk, n_name AS nation
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0
+LEFT JOIN nation ON n_nationkey = c_nationkey
+"""
+JSON_ARRAY = """
+SELECT cast(n_nationkey AS varchar) AS n_nationkey, nullif(n_name, 'FRANCE') AS name,
+       CASE WHEN n_regionkey > 2 THEN 'true' ELSE 'false' END AS far
+FROM nation
+"""
+TABLES_ROUNDTRIP = """
+SELECT cast(p_partkey AS varchar) AS key, p_brand AS label, 'part' AS "table" FROM part
+UNION ALL SELECT cast(n_nationkey AS varchar), n_name, 'nation' FROM nation
+"""
+REPORT_ROUNDTRIP = """SELECT concat(p_name, ', ', p_brand) AS "column" FROM part"""
+COUNTED_ROWS = """SELECT count(*) AS written, count(*) AS counted FROM lineitem"""
 SHARED_IDS = _JOB + """
 SELECT DISTINCT gid, CASE WHEN seg = 'HOUSEHOLD' THEN 'home' ELSE seg END AS segment, n_name AS nation
 FROM d LEFT JOIN i USING (seg, nk)
@@ -766,6 +903,15 @@ _QUERIES: dict[str, tuple[Query, str]] = {
     "csv_roundtrip": (csv_roundtrip, CSV_ROUNDTRIP),
     "shared_ids": (shared_ids, SHARED_IDS),
     "flagship": (flagship, FLAGSHIP),
+    "nested_rules": (nested_rules, NESTED_RULES),
+    "nested_ids": (nested_ids, NESTED_IDS),
+    "chain_rejects": (chain_rejects, CHAIN_REJECTS),
+    "rules_selected": (rules_selected, RULES_SELECTED),
+    "lists_from_files": (lists_from_files, LISTS_FROM_FILES),
+    "json_array": (json_array, JSON_ARRAY),
+    "tables_roundtrip": (tables_roundtrip, TABLES_ROUNDTRIP),
+    "report_roundtrip": (report_roundtrip, REPORT_ROUNDTRIP),
+    "counted_rows": (counted_rows, COUNTED_ROWS),
 }
 
 

@@ -4,9 +4,6 @@ Names, patterns and constants below are part of the data formats the job reads
 and writes. They have to stay as they are for results to be right.
 """
 
-# Declared types a mapping rule may use.
-DECLARED_TYPE_NAMES = ("boolean", "int", "date", "text")
-
 # Technical columns of a record export, and the types they always get.
 REPEAT_INSTRUMENT = "redcap_repeat_instrument"
 REPEAT_INSTANCE = "redcap_repeat_instance"
@@ -34,9 +31,8 @@ MEMBER_FIELD = "org_name"
 MEMBER_TABLE = "Submitter"
 MEMBER_COLUMN = "submitterInstitution"
 
-# Academic titles that may follow a person name, and the prefix before one.
+# Academic titles that may follow a person name.
 NAME_TITLES = ("MD", "M.D.", "PhD", "MPH", "MBBCH", "MSCE")
-NAME_PREFIX = "Dr. "
 # Names that stand for themselves in both parts.
 WHOLE_NAMES = ("unknown", "Pending")
 # Where a name that does not parse is cut, in the order they are looked for.

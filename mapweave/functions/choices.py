@@ -15,6 +15,12 @@ _CODE = r"\s*[0-9_]+\s*, "
 VALID_LIST = rf"\A{_CODE}[^|]*(?:\| {_CODE}[^|]*)*+\z"
 # Everything up to U+0020, as Java's trim.
 _BLANKS = "".join(map(chr, range(0x21)))
+# Blanks other than the space are rare, and a set of them is slow to trim.
+_ODD_BLANK = r"[\x00-\x1f]"
+
+
+def _trimmed(text: Column) -> Column:
+    return F.when(text.rlike(_ODD_BLANK), F.btrim(text, F.lit(_BLANKS))).otherwise(F.trim(text))
 
 
 def has_choices(text: Column) -> Column:
@@ -29,8 +35,8 @@ def choice_parts(text: Column) -> Column:
 
 def choice_index(part: Column) -> Column:
     """The code of one part."""
-    return F.btrim(F.substring_index(part, ",", 1), F.lit(_BLANKS))
+    return _trimmed(F.substring_index(part, ",", 1))
 
 
 def choice_description(part: Column) -> Column:
-    return F.btrim(F.substr(part, F.instr(part, ",") + 1), F.lit(_BLANKS))
+    return _trimmed(F.substr(part, F.instr(part, ",") + 1))

@@ -6,12 +6,12 @@ would cast text to the type of a number next to it and fail on bad text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapweave.functions.casts import comparable, compared_as_text
-from mapweave.functions.person_names import NAME_FUNCTIONS_SQL, first_name, last_name
+from mapweave.functions.person_names import first_name, last_name
 
 __all__ = [
     "field",
@@ -21,7 +21,6 @@ __all__ = [
     "if_else",
     "first_name",
     "last_name",
-    "register_functions",
 ]
 
 STRING = T.StringType()
@@ -43,6 +42,16 @@ def _same_type(values: list[Column], types: list[T.DataType]) -> list[Column]:
     return values
 
 
+def common_type(types: list[T.DataType]) -> T.DataType:
+    """The type of a value that is one of several: text if any is, else the widest."""
+    if len(set(types)) == 1:
+        return types[0]
+    order = [T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.FloatType, T.DoubleType]
+    if STRING in types or not all(type(t) in order for t in types):
+        return STRING
+    return max(types, key=lambda t: order.index(type(t)))
+
+
 def first_nonblank(values: list[Column], types: list[T.DataType]) -> Column:
     """The first value that is neither null nor "", or else the last value."""
     branches = _same_type(values, types)
@@ -71,16 +80,3 @@ def if_else(
     """``then`` where the condition is true, ``other`` where it is false or null."""
     then, other = _same_type([then, other], [then_type, other_type])
     return F.when(condition, then).otherwise(other)
-
-
-def register_functions(spark: SparkSession) -> None:
-    """Make first_nonblank, person_first_name and person_last_name callable in SQL text.
-
-    They are SQL functions, so Catalyst inlines them and no Python runs.
-    """
-    spark.sql(
-        "CREATE OR REPLACE TEMPORARY FUNCTION first_nonblank(a STRING, b STRING) "
-        "RETURNS STRING RETURN coalesce(nullif(a, ''), b)"
-    )
-    for statement in NAME_FUNCTIONS_SQL:
-        spark.sql(statement)

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from mapweave.fixed_values import (
     NAME_CUT_AFTER,
     NAME_CUTS_BEFORE,
-    NAME_PREFIX,
     NAME_TITLES,
     WHOLE_NAMES,
 )
@@ -32,7 +31,7 @@ _WORD = r"(?>[a-zA-Z]+[a-z]+)"
 _NAME = f"(?>{_WORD}(?:-{_WORD})?)"
 _FIRST = rf"(?>{_NAME}|[a-zA-Z]\.?+)"
 _MIDDLE = rf"(?>\({_NAME}\)|{_FIRST})"
-_PREFIXES = f"(?>(?:{re.escape(NAME_PREFIX)})*+)".replace(r"\ ", " ")
+_PREFIXES = r"(?>(?:Dr\. )*+)"
 _TITLES = "(?:,? (?:" + "|".join(re.escape(t) for t in NAME_TITLES) + "))*+"
 # Groups: a whole name, then first, last, first, last, last, first, last. A name
 # starting with one of the whole names is that name or does not parse.
@@ -98,36 +97,3 @@ def is_well_formed_first(name: Column) -> Column:
 
 def is_well_formed_last(name: Column) -> Column:
     return name.rlike(WELL_FORMED_LAST)
-
-
-def _sql_text(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _sql_piece() -> str:
-    cut = _sql_text(NAME_CUT_AFTER)
-    branches = [
-        f"WHEN contains(x, {cut}) THEN substring_index(substring_index(x, {cut}, 2), {cut}, -1)"
-    ]
-    for text in map(_sql_text, NAME_CUTS_BEFORE):
-        branches.append(f"WHEN contains(x, {text}) THEN substring_index(x, {text}, 1)")
-    return f"btrim(CASE {' '.join(branches)} END, {_sql_text(_BLANKS)})"
-
-
-def _sql_parts() -> str:
-    mark = _sql_text(MARK)
-    branches = []
-    for text in ("x", _sql_piece()):
-        marked = f"regexp_replace({text}, {_sql_text(_NAME_PATTERN)}, {_sql_text(_PARTS)})"
-        parsed = f"substring_index({marked}, {mark}, 1) <> {marked} AND NOT contains({text}, {mark})"
-        branches.append(f"WHEN {parsed} THEN {marked}")
-    return f"CASE {' '.join(branches)} ELSE concat({mark}, x) END"
-
-
-# The same as first_name and last_name, for SQL text.
-NAME_FUNCTIONS_SQL = (
-    "CREATE OR REPLACE TEMPORARY FUNCTION person_first_name(x STRING) RETURNS STRING RETURN "
-    f"try_element_at(array_remove(array(substring_index({_sql_parts()}, {_sql_text(MARK)}, 1)), ''), 1)",
-    "CREATE OR REPLACE TEMPORARY FUNCTION person_last_name(x STRING) RETURNS STRING RETURN "
-    f"substr({_sql_parts()}, locate({_sql_text(MARK)}, {_sql_parts()}) + 1)",
-)

@@ -27,15 +27,15 @@ def bag_difference(left: DataFrame, right: DataFrame, per_task: int = COPIES_PER
         .agg(F.sum(sign).alias(copies))
         .where(F.col(copies) > 0)
     )
-    chunks = left_over.withColumn(
+    repeated = F.explode(F.sequence(F.lit(1), F.col(copies)))
+    few = left_over.where(F.col(copies) <= per_task).withColumn(chunk, repeated)
+    # Only rows with more copies than one task should emit are dealt out again.
+    chunks = left_over.where(F.col(copies) > per_task).withColumn(
         chunk, F.explode(F.sequence(F.lit(0), F.floor((F.col(copies) - 1) / per_task)))
     )
     in_chunk = F.least(F.lit(per_task), F.col(copies) - F.col(chunk) * per_task)
-    return (
-        chunks.repartition(*columns, chunk)
-        .withColumn(copies, F.explode(F.sequence(F.lit(1), in_chunk)))
-        .select(*columns)
-    )
+    many = chunks.repartition(*columns, chunk).withColumn(copies, F.explode(F.sequence(F.lit(1), in_chunk)))
+    return few.select(*columns).union(many.select(*columns))
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:

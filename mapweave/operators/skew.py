@@ -1,11 +1,10 @@
 """Joins that hold up when one key carries a large share of the rows.
 
-A join first looks at sizes. When the inputs of the left side fit in one task no
-key can overload one, and when the right side is below the session's broadcast
-threshold Spark broadcasts it by itself; both get the plain join. Otherwise the
-keys are counted. If some are heavy on one side, their rows on that side are
-spread over numbered slices by a hash of the row, and the matching rows of the
-other side are repeated once per slice. Every row still meets exactly its matches.
+A side that Catalyst will broadcast cannot overload a task, and such joins are left
+alone. Otherwise the keys of both sides are counted, each once. Rows of heavy
+keys are spread over numbered slices of their own side, and the matching rows
+of the other side are repeated once per slice, so every row still meets exactly
+its matches. The heavy keys stay a written table: there may be any number of them.
 """
 
 from __future__ import annotations
@@ -17,15 +16,12 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapweave.sources.local import local_frame
+from mapweave.sources.storage import Staging
 
 # Rows of one key that go to one task.
 ROWS_PER_SLICE = 1_000_000
-# Heavy keys looked up by broadcast. Any key beyond these holds less than
-# 1/HEAVY_KEYS of the rows and stays in one slice.
-HEAVY_KEYS = 1024
-# A left side with inputs below this size is handled by a plain join.
-ONE_TASK_BYTES = 256 * 1024 * 1024
+# Tasks that look up the slices of one key, where heavy keys are too many to broadcast.
+LOOKUP_SALTS = 64
 
 
 def temp_name(label: str) -> str:
@@ -33,18 +29,6 @@ def temp_name(label: str) -> str:
     return f"__{label}_{uuid4().hex[:12]}"
 
 
-def input_bytes(df: DataFrame) -> int | None:
-    """Size of all inputs of a plan, or None where the session does not expose it.
-
-    Inputs of unknown size count as huge.
-    """
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    except AttributeError:
-        return None
-
-
 def will_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's size estimate is within the session's broadcast threshold."""
     try:
@@ -54,26 +38,20 @@ def will_broadcast(df: DataFrame) -> bool:
         return False
 
 
-def fits_one_task(df: DataFrame) -> bool:
-    size = input_bytes(df)
-    return size is not None and size <= ONE_TASK_BYTES
-
-
-def heavy_keys(df: DataFrame, keys: list[str], rows_per_slice: int, slices: str) -> DataFrame:
-    """The heaviest key tuples (at most HEAVY_KEYS) with their number of slices.
+def heavy_keys(df: DataFrame, keys: list[str], slices: str) -> DataFrame | None:
+    """All key tuples with more than ROWS_PER_SLICE rows and their number of slices.
 
-    Runs a job: counts are pre-aggregated before the shuffle and only the top is
-    fetched. Keeping the few rows as a local relation means that the plan of
-    ``df`` does not appear once more in the plan of the join.
+    Runs a job: counts are pre-aggregated before the shuffle and the few heavy ones
+    are written. None where there are none.
     """
     counts = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(slices))
-    heaviest = (
-        counts.where(F.col(slices) > rows_per_slice)
-        .withColumn(slices, F.ceil(F.col(slices) / rows_per_slice).cast("int"))
-        .orderBy(F.desc(slices), *[F.col(f"`{k}`") for k in keys])
-        .limit(HEAVY_KEYS)
-    )
-    return local_frame(df.sparkSession, heaviest.collect(), heaviest.schema)
+    heavy = counts.where(F.col(slices) > ROWS_PER_SLICE)
+    stage = Staging(df.sparkSession)
+    heavy = stage.table(heavy.withColumn(slices, F.ceil(F.col(slices) / ROWS_PER_SLICE).cast("int")), "heavy_keys")
+    if heavy.isEmpty():
+        stage.remove()
+        return None
+    return heavy
 
 
 def _with_slices(df: DataFrame, keys: list[str], heavy: DataFrame, slices: str) -> DataFrame:
@@ -85,26 +63,62 @@ def _with_slices(df: DataFrame, keys: list[str], heavy: DataFrame, slices: str)
         F.col(count).alias(slices),
     )
     match = key_condition(list(zip(keys, names)), null_safe=True)
-    return df.join(F.broadcast(lookup), match, "left").drop(*names)
+    if will_broadcast(heavy):
+        return df.join(lookup, match, "left").drop(*names)
+    # A hot key would be hot in this join too, so it is looked up in many places.
+    own, other = temp_name("salt"), temp_name("salt")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1)))
+    salted = df.withColumn(own, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(LOOKUP_SALTS)).cast("int"))
+    match &= F.col(own) == F.col(other)
+    return salted.join(lookup.withColumn(other, salts), match, "left").drop(*names, own, other)
 
 
 def _sliced(
-    df: DataFrame, keys: list[str], own: DataFrame, own_slice: str, other: DataFrame, other_slice: str
+    df: DataFrame,
+    keys: list[str],
+    own: DataFrame | None,
+    own_slice: str,
+    other: DataFrame | None,
+    other_slice: str,
 ) -> DataFrame:
     """Put each row in one slice of its own side and repeat it for those of the other."""
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     count = temp_name("count")
-    if own.isEmpty():
+    if own is None:
         df = df.withColumn(own_slice, F.lit(0))
     else:
-        slot = F.coalesce(F.pmod(row_hash, F.col(count)).cast("int"), F.lit(0))
-        df = _with_slices(df, keys, own, count).withColumn(own_slice, slot).drop(count)
-    if other.isEmpty():
+        # Rows are numbered as they are written, so equal rows spread too and a
+        # repeated task finds the same numbers.
+        number = temp_name("number")
+        df = Staging(df.sparkSession).cut(df.withColumn(number, F.monotonically_increasing_id()))
+        slot = F.coalesce(F.pmod(F.col(number), F.col(count)).cast("int"), F.lit(0))
+        df = _with_slices(df, keys, own, count).withColumn(own_slice, slot).drop(count, number)
+    if other is None:
         return df.withColumn(other_slice, F.lit(0))
     slots = F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1)
     return _with_slices(df, keys, other, count).withColumn(other_slice, F.explode(slots)).drop(count)
 
 
+def _slice_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[tuple[str, str]],
+    how: str,
+    null_safe: bool,
+    heavy_left: DataFrame | None,
+    heavy_right: DataFrame | None,
+) -> DataFrame:
+    """Join with the given heavy keys split; a left join has none on the right."""
+    condition = key_condition(keys, null_safe)
+    if heavy_left is None and heavy_right is None:
+        return left.join(right, condition, how)
+    lefts, rights = [k for k, _ in keys], [k for _, k in keys]
+    l_slice, l_repeat, r_slice, r_repeat = (temp_name("slice") for _ in range(4))
+    left = _sliced(left, lefts, heavy_left, l_slice, heavy_right, l_repeat)
+    right = _sliced(right, rights, heavy_right, r_slice, heavy_left, r_repeat)
+    condition &= (F.col(l_slice) == F.col(r_repeat)) & (F.col(l_repeat) == F.col(r_slice))
+    return left.join(right, condition, how).drop(l_slice, l_repeat, r_slice, r_repeat)
+
+
 def split_join(
     left: DataFrame,
     right: DataFrame,
@@ -115,26 +129,18 @@ def split_join(
 ) -> DataFrame:
     """Join with heavy keys split; keeps all columns of both sides."""
     lefts, rights = [k for k, _ in keys], [k for _, k in keys]
+    distinct = right.select(*[F.col(f"`{k}`") for k in rights]).distinct()
+    heavy_left = heavy_keys(left, lefts, temp_name("n"))
     if how == "left_anti":
-        right, unique_right = right.select(*[F.col(f"`{k}`") for k in rights]).distinct(), True
-    heavy_left = heavy_keys(left, lefts, ROWS_PER_SLICE, temp_name("n"))
-    heavy_right = (
-        heavy_left.limit(0) if unique_right else heavy_keys(right, rights, ROWS_PER_SLICE, temp_name("n"))
-    )
-    condition = key_condition(keys, null_safe)
-    if heavy_left.isEmpty() and heavy_right.isEmpty():
-        return left.join(right, condition, how)
-    if how == "left" and not heavy_right.isEmpty():
+        return _slice_join(left, distinct, keys, how, null_safe, heavy_left, None)
+    heavy_right = None if unique_right else heavy_keys(right, rights, temp_name("n"))
+    if how == "left" and heavy_right is not None:
         # A repeated left row has a match in some slices only, so rows without
         # any match are found by themselves.
-        matched = split_join(left, right, keys, "inner", null_safe)
-        unmatched = split_join(left, right, keys, "left_anti", null_safe)
+        matched = _slice_join(left, right, keys, "inner", null_safe, heavy_left, heavy_right)
+        unmatched = _slice_join(left, distinct, keys, "left_anti", null_safe, heavy_left, None)
         return matched.unionByName(unmatched, allowMissingColumns=True)
-    l_slice, l_repeat, r_slice, r_repeat = (temp_name("slice") for _ in range(4))
-    left = _sliced(left, lefts, heavy_left, l_slice, heavy_right, l_repeat)
-    right = _sliced(right, rights, heavy_right, r_slice, heavy_left, r_repeat)
-    condition &= (F.col(l_slice) == F.col(r_repeat)) & (F.col(l_repeat) == F.col(r_slice))
-    return left.join(right, condition, how).drop(l_slice, l_repeat, r_slice, r_repeat)
+    return _slice_join(left, right, keys, how, null_safe, heavy_left, heavy_right)
 
 
 def key_condition(keys: list[tuple[str, str]], null_safe: bool) -> Column:
@@ -150,11 +156,12 @@ def balanced_join(
     null_safe: bool = False,
     unique_right: bool = False,
 ) -> DataFrame:
-    """Equi-join on differently named key pairs, split only where sizes call for it.
+    """Equi-join on differently named key pairs, split unless Catalyst broadcasts a side.
 
-    ``how`` is inner, left or left_anti. The two sides share no column name.
-    ``unique_right`` says that no key comes twice on the right.
+    ``how`` is inner, left or left_anti; only an inner join can broadcast its left side.
+    The two sides share no column name. ``unique_right`` says that no key comes
+    twice on the right.
     """
-    if fits_one_task(left) or will_broadcast(right):
+    if will_broadcast(right) or (how == "inner" and will_broadcast(left)):
         return left.join(right, key_condition(keys, null_safe), how)
     return split_join(left, right, keys, how, null_safe, unique_right)

@@ -1,8 +1,10 @@
 """The job: records in, one table per target out.
 
-``MappedRecords`` only builds plans, on any records, rules and lists given as
-DataFrames, unless it is given a place to stage tables. ``run_job`` reads the inputs from files, stages the filtered
-records and the id tables, and writes every output.
+``MappedRecords`` works on any records, rules and lists given as DataFrames. Given a
+place to stage tables, it writes the filtered records, the id tables and the
+records with their ids; without one it builds plans, and runs a job only where a join
+has to count its keys. ``run_job`` reads the inputs from files, stages and writes
+every output.
 """
 
 from __future__ import annotations
@@ -83,10 +85,16 @@ def add_ids(records: DataFrame, rules: list[Rule], staging: Staging | None = Non
     schema: T.StructType = records.schema
     for i, (parts, columns) in enumerate(columns_by_parts.items()):
         values = [rule_plans.operand(p, schema)[0] for p in parts]
-        numbered = keys.number_keys(keys.key_tuples(records, values), "id")
-        if staging is not None:
-            numbered = staging.table(numbered, f"ids_{i}")
-        records = keys.attach_keys(records, values, numbered, columns)
+        tuples = keys.key_tuples(records, values)
+        if staging is None:
+            numbered = keys.number_keys(tuples, "id")
+            records = keys.attach_keys(records, values, numbered, columns)
+            continue
+        tuples = staging.table(tuples.distinct(), f"keys_{i}")
+        numbered = keys.number_keys(tuples, "id", keys.digits_for(tuples.count()))
+        numbered = staging.table(numbered, f"ids_{i}")
+        # Every later id and target table reads these, not the joins so far.
+        records = staging.table(keys.attach_keys(records, values, numbered, columns), f"with_ids_{i}")
     return records
 
 
@@ -123,7 +131,7 @@ def column_reports(records: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Da
     names = reshape.plain_columns(records.columns) + list(groups)
     present = local_frame(spark, [(n,) for n in names], T.StructType().add("column", "string"))
     mapped = rule_plans.mapped_fields(rule_plans.rules_frame(spark, rules))
-    return reports.bag_difference(present, mapped), reports.bag_difference(mapped, present)
+    return present.exceptAll(mapped), mapped.exceptAll(present)
 
 
 class MappedRecords:
@@ -137,7 +145,6 @@ class MappedRecords:
         self._spark = inputs.records.sparkSession
         self._inputs = inputs
         self._staging = staging
-        ex.register_functions(self._spark)
         records, self.rejects = filter_records(inputs, staging)
         self.records = staging.table(records, "records") if staging else records
 

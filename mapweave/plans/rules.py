@@ -3,7 +3,8 @@
 Rules are configuration. They are read and routed as DataFrames, and only
 their rows are ever collected to the driver.
 
-An operand in ``args`` is a column name, or a literal in double quotes.
+An operand in ``args`` is a column name, a literal in double quotes, or another
+rule node, ``{"kind": .., "args": [..]}``, of any kind but generate_id, expr and none.
 
 ====================  =====================================================
 kind                  args
@@ -19,12 +20,13 @@ expr                  one Spark SQL expression; state its columns in sources
 none                  nothing; the target column is known to be unavailable
 ====================  =====================================================
 
-In ``expr`` the functions first_nonblank, person_first_name and
-person_last_name are available, and so is all of Spark SQL.
+Nested nodes carry types, so text next to a number compares as it does in a rule
+of its own. In ``expr`` all of Spark SQL is available, with its ANSI casts.
 """
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -56,6 +58,8 @@ _ARITY = {
     "expr": (1, 1),
     "none": (0, 0),
 }
+# Kinds whose value another rule may use.
+VALUE_KINDS = ("field", "literal", "first_nonblank", "if_equal", "first_name", "last_name")
 
 
 @dataclass(frozen=True)
@@ -76,7 +80,34 @@ class Rule:
             return list(self.reads)
         if self.kind in ("none", "literal"):
             return []
-        return [a for a in self.args if not is_literal(a)]
+        return [s for a in self.args for s in sources_of(a)]
+
+
+def node(kind: str, *args: str) -> str:
+    """A nested operand."""
+    return json.dumps({"kind": kind, "args": args}, ensure_ascii=False)
+
+
+def nested(operand: str) -> tuple[str, list[str]] | None:
+    """Kind and args of an operand that is a node, else None."""
+    if not operand.startswith("{"):
+        return None
+    try:
+        parsed = json.loads(operand)
+    except ValueError:
+        return None
+    if not isinstance(parsed, dict) or "kind" not in parsed:
+        return None
+    args = [a if isinstance(a, str) else json.dumps(a, ensure_ascii=False) for a in parsed.get("args") or ()]
+    return parsed["kind"], args
+
+
+def sources_of(operand: str) -> list[str]:
+    """The columns an operand reads, in order, repeats kept."""
+    inner = nested(operand)
+    if inner is not None:
+        return [s for a in inner[1] for s in sources_of(a)]
+    return [] if is_literal(operand) else [operand]
 
 
 def is_literal(operand: str) -> bool:
@@ -84,15 +115,31 @@ def is_literal(operand: str) -> bool:
 
 
 def operand(text: str, schema: T.StructType) -> tuple[Column, T.DataType]:
-    """The column or literal an operand stands for, and its type."""
+    """The value an operand stands for, and its type."""
+    inner = nested(text)
+    if inner is not None:
+        return value(*inner, schema)
     if is_literal(text):
         return ex.literal(text[1:-1]), ex.STRING
     return ex.field(text), schema[text].dataType
 
 
-def operands(rule: Rule, schema: T.StructType) -> tuple[list[Column], list[T.DataType]]:
-    pairs = [operand(a, schema) for a in rule.args]
-    return [c for c, _ in pairs], [t for _, t in pairs]
+def value(kind: str, args: Iterable[str], schema: T.StructType) -> tuple[Column, T.DataType]:
+    """The value of a node and its type."""
+    pairs = [operand(a, schema) for a in args]
+    columns, types = [c for c, _ in pairs], [t for _, t in pairs]
+    if kind in ("field", "literal"):
+        return pairs[0]
+    if kind == "first_nonblank":
+        return ex.first_nonblank(columns, types), ex.common_type(types)
+    if kind == "if_equal":
+        same = ex.equals(*columns[:2], *types[:2])
+        return ex.if_else(same, *columns[2:], *types[2:]), ex.common_type(types[2:])
+    if kind == "first_name":
+        return ex.first_name(columns[0]), ex.STRING
+    if kind == "last_name":
+        return ex.last_name(columns[0]), ex.STRING
+    raise ValueError(f"unknown rule kind {kind!r}")
 
 
 def rule_column(rule: Rule, schema: T.StructType) -> Column:
@@ -103,19 +150,7 @@ def rule_column(rule: Rule, schema: T.StructType) -> Column:
         return ex.field(rule.column)
     if rule.kind == "expr":
         return F.expr(rule.args[0])
-    columns, types = operands(rule, schema)
-    if rule.kind in ("field", "literal"):
-        return columns[0]
-    if rule.kind == "first_nonblank":
-        return ex.first_nonblank(columns, types)
-    if rule.kind == "if_equal":
-        same = ex.equals(*columns[:2], *types[:2])
-        return ex.if_else(same, *columns[2:], *types[2:])
-    if rule.kind == "first_name":
-        return ex.first_name(columns[0])
-    if rule.kind == "last_name":
-        return ex.last_name(columns[0])
-    raise ValueError(f"unknown rule kind {rule.kind!r}")
+    return value(rule.kind, rule.args, schema)[0]
 
 
 def project_rules(records: DataFrame, rules: Iterable[Rule]) -> DataFrame:
@@ -188,7 +223,7 @@ def primary_keys(rules: DataFrame) -> DataFrame:
 
 def counted_above(df: DataFrame, keys: list[str], limit: int = 1) -> DataFrame:
     """Groups with more than ``limit`` rows, and their count."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > limit)
+    return df.groupBy(*map(ex.field, keys)).agg(F.count(F.lit(1)).alias("count")).where(F.col("count") > limit)
 
 
 def lineage(rules: DataFrame) -> DataFrame:
@@ -231,15 +266,24 @@ def check_shapes(rules: Iterable[Rule]) -> None:
     """Kinds, arguments and stated sources of every rule."""
     for rule in rules:
         where = f"rule for {rule.table}.{rule.column}"
-        if rule.kind not in _ARITY:
-            raise ValueError(f"{where}: unknown kind {rule.kind!r}")
-        fewest, most = _ARITY[rule.kind]
-        if len(rule.args) < fewest or (most is not None and len(rule.args) > most):
-            raise ValueError(f"{where}: wrong number of args for {rule.kind}: {len(rule.args)}")
-        if rule.kind == "literal" and not is_literal(rule.args[0]):
-            raise ValueError(f"{where}: a literal is written in double quotes")
-        if rule.kind == "field" and is_literal(rule.args[0]):
-            raise ValueError(f"{where}: a field is a column name")
+        _check_shape(where, rule.kind, rule.args)
+
+
+def _check_shape(where: str, kind: str | None, args: Iterable[str]) -> None:
+    if kind not in _ARITY:
+        raise ValueError(f"{where}: unknown kind {kind!r}")
+    args = list(args)
+    fewest, most = _ARITY[kind]
+    if len(args) < fewest or (most is not None and len(args) > most):
+        raise ValueError(f"{where}: wrong number of args for {kind}: {len(args)}")
+    if kind == "literal" and not is_literal(args[0]):
+        raise ValueError(f"{where}: a literal is written in double quotes")
+    if kind == "field" and (is_literal(args[0]) or nested(args[0])):
+        raise ValueError(f"{where}: a field is a column name")
+    for inner in filter(None, map(nested, args)):
+        if inner[0] not in VALUE_KINDS:
+            raise ValueError(f"{where}: {inner[0]} cannot be nested")
+        _check_shape(where, *inner)
 
 
 def check_rules(rules: list[Rule], columns: list[str]) -> None:
@@ -252,7 +296,7 @@ def check_rules(rules: list[Rule], columns: list[str]) -> None:
     if clashes:
         raise ValueError(f"generated columns already exist in the records: {clashes}")
     for column, parts in ids.items():
-        lacking = [p for p in parts if not is_literal(p) and p not in columns]
+        lacking = [s for p in parts for s in sources_of(p) if s not in columns]
         if lacking:
             raise ValueError(f"generate_id for {column} reads missing {lacking}")
     available = set(columns) | set(ids)

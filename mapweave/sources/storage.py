@@ -24,22 +24,20 @@ def list_directory(spark: SparkSession, path: str) -> list[str]:
     return [e.toString() for e in sorted(visible, key=lambda e: e.getName())]
 
 
-def directory_bytes(spark: SparkSession, path: str) -> int:
-    fs, target = _hadoop_path(spark, path)
-    return fs.getContentSummary(target).getLength()
-
-
 class Staging:
     """Tables written to the cluster's shared folder to cut lineage.
 
     A staged table survives the loss of executors and is read back with column
     pruning and real size statistics. The folder is the session's
-    ``spark.checkpoint.dir``; only a local session without that setting gets a
-    temporary one.
+    ``spark.checkpoint.dir``, or else the one given to ``setCheckpointDir``; only a
+    local session without either gets a temporary one.
     """
 
     def __init__(self, spark: SparkSession):
         root = spark.conf.get("spark.checkpoint.dir", None)
+        context = getattr(spark, "sparkContext", None)
+        if not root and context is not None:
+            root = context.getCheckpointDir()
         if not root:
             if not spark.conf.get("spark.master", "").startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

@@ -4,11 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from mapweave.sources.storage import Staging, directory_bytes
-
-# A single file is written by one task, so its size is bounded.
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
-
 # Null and "" are both blank, and quotes are doubled.
 CSV_FORMAT = {"sep": ",", "quote": '"', "escape": '"', "emptyValue": ""}
 
@@ -18,21 +13,6 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
     df.write.csv(path, mode="overwrite", header=header, **CSV_FORMAT)
 
 
-def write_single_csv(
-    df: DataFrame, path: str, staging: Staging, name: str, header: bool = True
-) -> None:
-    """As write_csv, with exactly one part file.
-
-    For small tables only: the rows are staged first, and an output above
-    SINGLE_FILE_BYTES is refused before one task would have to write it.
-    """
-    staged = staging.table(df, name)
-    size = directory_bytes(df.sparkSession, staging.folder(name))
-    if size > SINGLE_FILE_BYTES:
-        raise ValueError(f"{path}: {size} bytes are too many for a single file, use write_csv")
-    write_csv(staged.coalesce(1), path, header)
-
-
 def write_report(df: DataFrame, path: str) -> None:
     """A report is CSV without a header."""
     write_csv(df, path, header=False)

@@ -29,10 +29,9 @@ def spark():
 
 @pytest.fixture
 def small_limits(monkeypatch):
-    """Make every input count as too large for one task and for a broadcast."""
+    """Make every input count as too large for a broadcast."""
     from mapweave.operators import skew
 
-    monkeypatch.setattr(skew, "ONE_TASK_BYTES", -1)
     monkeypatch.setattr(skew, "will_broadcast", lambda df: False)
 
 

@@ -2,8 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from mapweave.functions.expressions import register_functions
-from mapweave.plans.rules import Rule, project_rules, rule_column
+from mapweave.plans.rules import Rule, node, project_rules, rule_column
 
 SCHEMA = "a string, b string, n int, m int, d date, t boolean"
 
@@ -55,10 +54,18 @@ def test_if_equal_across_types(data):
     assert evaluate(data, "if_equal", "n", "m", "n", "m") == [2, 2, None]
 
 
-def test_nested_expression(spark, data):
-    register_functions(spark)
-    text = "person_last_name(first_nonblank(a, concat('Mary ', upper(left(b, 1)), 'oung')))"
-    assert evaluate(data, "expr", text, reads=("a", "b"))[1] == "Young"
+def test_nested_operands(data):
+    name = node("last_name", node("first_nonblank", '""', '"Mary Young"'))
+    assert evaluate(data, "first_nonblank", '""', name) == ["Young"] * 3
+    # Numbers stay numbers, and bad text next to one is no error.
+    first = node("first_nonblank", "n", "n")
+    assert evaluate(data, "first_nonblank", first, "n") == evaluate(data, "field", "n")
+    assert evaluate(data, "if_equal", first, '"bad"', '"one"', '"no"') == ["no"] * 3
+    assert evaluate(data, "if_equal", first, '"1"', node("literal", '"one"'), '"no"') == ["one", "no", "no"]
+
+
+def test_free_sql(data):
+    assert evaluate(data, "expr", "upper('x')", reads=("a",)) == ["X"] * 3
 
 
 def test_generate_id_is_the_built_column(data):

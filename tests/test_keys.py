@@ -14,11 +14,11 @@ def people(spark, n=500):
     )
 
 
-def by_hand(pairs, digits=3):
+def by_hand(pairs):
     """Ids of distinct pairs without a null."""
 
     def order(pair):
-        return (hashlib.md5(chr(31).join(map(str, pair)).encode()).hexdigest()[:digits], pair)
+        return (hashlib.md5(chr(31).join(map(str, pair)).encode()).hexdigest(), pair)
 
     distinct = {p for p in pairs if None not in p}
     return {p: i for i, p in enumerate(sorted(distinct, key=order))}
@@ -50,7 +50,7 @@ def test_key_parts_can_be_expressions(spark):
     df = people(spark)
     part = F.coalesce(F.col("b"), F.lit("none"))
     got = keys.generate_ids(df, [part], "gid", digits=1)
-    expected = by_hand([(r["b"] or "none",) for r in df.collect()], digits=1)
+    expected = by_hand([(r["b"] or "none",) for r in df.collect()])
     assert all(r["gid"] == expected[(r["b"] or "none",)] for r in got.collect())
     assert got.columns == ["id", "a", "b", "gid"]
 
@@ -60,3 +60,11 @@ def test_large_inputs_take_the_split_join(spark, small_limits):
     expected = by_hand([(r["a"], r["b"]) for r in df.collect()])
     got = keys.generate_ids(df, [F.col("a"), F.col("b")], "gid").collect()
     assert {r["id"]: r["gid"] for r in got} == {r["id"]: expected.get((r["a"], r["b"])) for r in got}
+
+
+def test_ids_do_not_depend_on_the_number_of_buckets(spark):
+    df = people(spark)
+    parts = [F.col("a"), F.col("b")]
+    first, *others = [rows(keys.generate_ids(df, parts, "gid", digits)) for digits in (1, 2, 3, 5)]
+    assert all(o == first for o in others)
+    assert [keys.digits_for(n) for n in (0, 10**9, 10**10, 10**12)] == [3, 3, 4, 6]

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from mapweave.fixed_values import NAME_TITLES
-from mapweave.functions.expressions import first_name, last_name, register_functions
+from mapweave.functions.expressions import first_name, last_name
 from mapweave.functions.person_names import MARK, is_well_formed_first, is_well_formed_last
 
 CASES = {
@@ -73,16 +73,6 @@ def test_cases(spark):
     assert dict(zip(CASES, split_names(spark, CASES))) == CASES
 
 
-def test_sql_functions_agree(spark):
-    register_functions(spark)
-    df = spark.createDataFrame([(n,) for n in CASES], "x string")
-    both = df.select(
-        first_name(F.col("x")).eqNullSafe(F.expr("person_first_name(x)")),
-        last_name(F.col("x")).eqNullSafe(F.expr("person_last_name(x)")),
-    )
-    assert all(a and b for a, b in both.collect())
-
-
 def test_long_inputs(spark):
     names = ["Dr. " * 20_000 + "Smith", "Smith" + " MD" * 20_000, "x " * 50_000, "Sm" * 100_000]
     assert split_names(spark, names) == [

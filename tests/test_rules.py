@@ -13,6 +13,10 @@ def test_sources_keep_order_and_repeats():
     assert Rule("t", "c", "if_equal", ("a", '"x"', "b", "a")).sources == ["a", "b", "a"]
     assert Rule("t", "c", "expr", ("upper(a)",), reads=("a",)).sources == ["a"]
     assert Rule("t", "c", "literal", ('"a"',)).sources == []
+    inner = rule_plans.node("first_nonblank", "b", '"x"', rule_plans.node("first_name", "a"))
+    assert Rule("t", "c", "if_equal", (inner, '"x"', "b", "a")).sources == ["b", "a", "b", "a"]
+    # As a JSON reader gives it, with an object among the strings.
+    assert rule_plans.sources_of('{"kind":"if_equal","args":["a",{"kind":"field","args":["z"]},"b","\\"c\\""]}') == ["a", "z", "b"]
     assert Rule("t", "c", "none").sources == []
 
 
@@ -77,6 +81,9 @@ BAD = {
     "wrong number of args for generate_id": [Rule("t", "c", "generate_id", ())],
     "double quotes": [Rule("t", "c", "literal", ("rid",))],
     "a field is a column": [Rule("t", "c", "field", ('"rid"',))],
+    "cannot be nested": [Rule("t", "c", "first_name", (rule_plans.node("generate_id", "rid"),))],
+    "wrong number of args for if_equal": [Rule("t", "c", "first_name", (rule_plans.node("if_equal", "rid"),))],
+    "generate_id for n reads missing": [Rule(None, "n", "generate_id", (rule_plans.node("first_name", "lost"),))],
     "unsupported type": [Rule("t", "c", "field", ("rid",), "float")],
     "unsupported type None": [Rule("t", "c", "field", ("rid",), None)],
     "two different generate_id": [Rule("t", "g", "generate_id", ("rid",)), Rule("u", "g", "generate_id", ("name",))],

@@ -70,18 +70,6 @@ def test_csv_format(spark, tmp_path):
     assert text_of(tmp_path / "out") == "1\n2\n"
 
 
-def test_single_file(spark, tmp_path, monkeypatch):
-    df = spark.range(100).repartition(4)
-    staging = Staging(spark)
-    writers.write_single_csv(df, str(tmp_path / "one"), staging, "one")
-    assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    assert len(text_of(tmp_path / "one").split()) == 101
-    monkeypatch.setattr(writers, "SINGLE_FILE_BYTES", 10)
-    with pytest.raises(ValueError, match="too many for a single file"):
-        writers.write_single_csv(df, str(tmp_path / "two"), staging, "two")
-    staging.remove()
-
-
 def test_one_output_per_table(spark, tmp_path):
     writers.write_tables({"a": spark.range(2), "b": spark.range(3)}, str(tmp_path))
     assert sorted(p.name for p in (tmp_path / "tables").iterdir()) == ["a", "b"]
