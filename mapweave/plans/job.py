@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapweave import fixed_values as fixed
@@ -31,6 +32,27 @@ from mapweave.sources.storage import Staging
 log = logging.getLogger(__name__)
 
 
+@dataclass(frozen=True)
+class FixedColumns:
+    """Names the job gives a meaning of its own; the defaults are those of the export."""
+
+    repeat_instrument: str = fixed.REPEAT_INSTRUMENT
+    repeat_instance: str = fixed.REPEAT_INSTANCE
+    trimmed: tuple[str, ...] = fixed.TRIMMED_COLUMNS
+    title: str = fixed.TITLE_COLUMN
+    first_name: str = fixed.FIRST_NAME_COLUMN
+    last_name: str = fixed.LAST_NAME_COLUMN
+    reviewer_prefix: str = fixed.REVIEWER_PREFIX
+    # Options of ``dictionary.member_rows``, where they differ from its defaults.
+    members: dict = field(default_factory=dict)
+    # Record columns that the report of unknown columns leaves out.
+    ignored: tuple[str, ...] = ()
+
+    @property
+    def built_in_types(self) -> tuple[tuple[str, str], ...]:
+        return ((self.repeat_instrument, "text"), (self.repeat_instance, "int"))
+
+
 @dataclass
 class Inputs:
     """Records and what is applied to them."""
@@ -43,15 +65,18 @@ class Inputs:
     dictionary: DataFrame | None = None
     # Off by default; the records need the title and name columns for it.
     drop_test_records: bool = False
+    columns: FixedColumns = field(default_factory=FixedColumns)
 
 
-def cast_records(records: DataFrame, rules: Iterable[Rule]) -> DataFrame:
+def cast_records(
+    records: DataFrame, rules: Iterable[Rule], built_in: tuple[tuple[str, str], ...] = fixed.BUILT_IN_TYPES
+) -> DataFrame:
     """Give record columns their declared types, in one projection.
 
     A field declared with several types is cast to each in rule order.
     """
     casts = {}
-    for name, type_name in rule_plans.declared_types(rules, records.columns):
+    for name, type_name in rule_plans.declared_types(rules, records.columns, built_in):
         casts[name] = cast_declared(casts.get(name, ex.field(name)), type_name)
     return records.withColumns(casts) if casts else records
 
@@ -61,19 +86,18 @@ def filter_records(
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Typed and trimmed records through the filter chain, and rejects by stage."""
     cut = staging.cut if staging else None
-    typed = cast_records(inputs.records, inputs.rules)
+    names = inputs.columns
+    typed = cast_records(inputs.records, inputs.rules, names.built_in_types)
     stages = [
-        ("primary", filters.primary_records(fixed.REPEAT_INSTRUMENT, fixed.REPEAT_INSTANCE)),
+        ("primary", filters.primary_records(names.repeat_instrument, names.repeat_instance)),
         ("enrich", lists.enrich_all(inputs.enrich, cut)),
         ("restrict", lists.restrict_all(inputs.restrict, cut)),
         ("block", lists.block_all(inputs.block, cut)),
     ]
     if inputs.drop_test_records:
-        test_records = filters.split_test_records(
-            fixed.TITLE_COLUMN, fixed.FIRST_NAME_COLUMN, fixed.LAST_NAME_COLUMN
-        )
+        test_records = filters.split_test_records(names.title, names.first_name, names.last_name)
         stages.append(("test", test_records))
-    trimmed = filters.trim_columns(typed, fixed.TRIMMED_COLUMNS)
+    trimmed = filters.trim_columns(typed, names.trimmed)
     return filters.run_stages(trimmed, stages)
 
 
@@ -124,14 +148,20 @@ def target_tables(records: DataFrame, rules: list[Rule]) -> dict[str, DataFrame]
     return tables
 
 
-def column_reports(records: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Record columns no rule uses, and used columns the records lack, both as bags."""
+def column_reports(
+    records: DataFrame, rules: list[Rule], ignored: Iterable[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Record columns no rule uses, and used columns the records lack, both as bags.
+
+    Columns in ``ignored`` are never reported as unused.
+    """
     spark = records.sparkSession
     groups = reshape.checkbox_groups(records.columns)
     names = reshape.plain_columns(records.columns) + list(groups)
     present = local_frame(spark, [(n,) for n in names], T.StructType().add("column", "string"))
     mapped = rule_plans.mapped_fields(rule_plans.rules_frame(spark, rules))
-    return present.exceptAll(mapped), mapped.exceptAll(present)
+    unknown = present.exceptAll(mapped).where(~F.col("column").isin(*ignored))
+    return unknown, mapped.exceptAll(present)
 
 
 class MappedRecords:
@@ -145,6 +175,9 @@ class MappedRecords:
         self._spark = inputs.records.sparkSession
         self._inputs = inputs
         self._staging = staging
+        for rule in inputs.rules:
+            if rule.table is None or not rule.sources:
+                log.warning("rule for %s.%s (%s) reaches no table", rule.table, rule.column, rule.kind)
         records, self.rejects = filter_records(inputs, staging)
         self.records = staging.table(records, "records") if staging else records
 
@@ -159,7 +192,7 @@ class MappedRecords:
     @cached_property
     def reviewers(self) -> DataFrame | None:
         return reshape.prefixed_to_long(
-            self.records, fixed.REVIEWER_PREFIX, "reviewer", "organization"
+            self.records, self._inputs.columns.reviewer_prefix, "reviewer", "organization"
         )
 
     @cached_property
@@ -167,11 +200,11 @@ class MappedRecords:
         if self._inputs.dictionary is None:
             return None
         rules = rule_plans.rules_frame(self._spark, self._inputs.rules)
-        return dic.label_dimension(self._inputs.dictionary, rules)
+        return dic.label_dimension(self._inputs.dictionary, rules, **self._inputs.columns.members)
 
     @cached_property
     def _reports(self) -> tuple[DataFrame, DataFrame]:
-        return column_reports(self.records_with_ids, self._inputs.rules)
+        return column_reports(self.records_with_ids, self._inputs.rules, self._inputs.columns.ignored)
 
     @property
     def unknown(self) -> DataFrame:
@@ -222,6 +255,7 @@ class JobFiles:
     json_lines: bool = False
     record_columns: list[str] | None = None
     drop_test_records: bool = False
+    columns: FixedColumns = field(default_factory=FixedColumns)
 
 
 def read_inputs(spark: SparkSession, files: JobFiles) -> Inputs:
@@ -238,6 +272,7 @@ def read_inputs(spark: SparkSession, files: JobFiles) -> Inputs:
         block=lists_in(files.block),
         dictionary=readers.read_json_strings(spark, files.dictionary),
         drop_test_records=files.drop_test_records,
+        columns=files.columns,
     )
 
 

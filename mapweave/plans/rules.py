@@ -243,10 +243,14 @@ def mapped_fields(rules: DataFrame) -> DataFrame:
 # --- checks before any job ---------------------------------------------------
 
 
-def declared_types(rules: Iterable[Rule], columns: Iterable[str]) -> list[tuple[str, str]]:
+def declared_types(
+    rules: Iterable[Rule],
+    columns: Iterable[str],
+    built_in: Iterable[tuple[str, str]] = fixed.BUILT_IN_TYPES,
+) -> list[tuple[str, str]]:
     """Casts of record columns, in order: built-in ones, then those of bare field rules."""
     columns = set(columns)
-    pairs = [(c, t) for c, t in fixed.BUILT_IN_TYPES if c in columns]
+    pairs = [(c, t) for c, t in built_in if c in columns]
     pairs += [
         (r.args[0], r.type) for r in rules if r.kind == "field" and r.args[0] in columns
     ]

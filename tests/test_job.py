@@ -4,9 +4,10 @@ import csv
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
-from mapweave.plans.job import JobFiles, MappedRecords, read_inputs, run_job
+from mapweave.plans.job import FixedColumns, JobFiles, MappedRecords, read_inputs, run_job
 from mapweave.plans.rules import read_rules
 
 
@@ -216,3 +217,26 @@ def test_rules_come_in_ordinal_order(spark, files):
     assert [r.primary for r in rules[:2]] == [True, False]
     assert [r.primary for r in rules if r.table == "area"] == [True, True, False]
     assert rules[14].reads == ("proposal_title2",)
+
+
+def test_other_column_names(spark, files, caplog):
+    inputs = read_inputs(spark, files)
+    names = {
+        "redcap_repeat_instrument": "instrument", "redcap_repeat_instance": "instance",
+        "reviewer_name_north": "judge_north", "reviewer_name_south": "judge_south",
+    }
+    inputs.records = inputs.records.withColumnsRenamed(names)
+    inputs.dictionary = inputs.dictionary.withColumn(
+        "field_name", F.regexp_replace("field_name", "^ctsa_", "site_")
+    )
+    inputs.columns = FixedColumns(
+        repeat_instrument="instrument", repeat_instance="instance", reviewer_prefix="judge_",
+        members={"pattern": "^site_[0-9]*$", "index_start": 6}, ignored=("leftover", "site"),
+    )
+    with caplog.at_level("WARNING"):
+        mapped = MappedRecords(inputs)
+    assert "reaches no table" in caplog.text
+    assert mapped.mapped_tables["proposal"].count() == 5
+    assert rows(mapped.reviewers) == [("Ann", "north"), ("Ann", "south")]
+    assert mapped.labels.where("table = 'Submitter'").count() == 1
+    assert [r[0] for r in rows(mapped.unknown)] == ["applicant", "instance", "instrument", "judge_north", "judge_south"]
