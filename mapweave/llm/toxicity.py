@@ -83,7 +83,7 @@ class SentenceModel:
         if len(self.place) > REMEMBERED:
             self._forget()
         get = self.weights.get
-        for w in words - self.place.keys():
+        for w in [w for w in words if w not in self.place]:
             self.place[w] = len(self.values)
             self.values.append(sum(get(f, 0.0) for f in features_of(w)))
         return np.array(self.values)
@@ -131,7 +131,7 @@ def chosen_features(rows: DataFrame, features: int = FEATURES) -> list[int]:
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 words = set(_bytes(text.as_py()).replace(STOP, b" ").split())
-                for w in words - held.keys():
+                for w in [w for w in words if w not in held]:
                     held[w] = features_of(w)
                 counts[1 if label else 0].update({f for w in words for f in held[w]})
             if len(held) > REMEMBERED:
