@@ -15,7 +15,7 @@ parameters, whatever the size of the corpus.
 from __future__ import annotations
 
 import zlib
-from itertools import repeat
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +25,8 @@ from pyspark.sql import types as T
 
 from mapweave.llm import common
 
-GROUPS, MEMBERS = 16, 64
+# As many groups as members in each makes the two softmaxes cheapest.
+GROUPS, MEMBERS = 32, 32
 WORDS = GROUPS * MEMBERS
 RARE = 63
 SIDE = 2
@@ -48,10 +49,9 @@ def vocabulary(docs: DataFrame, text: str = "text") -> list[bytes]:
 
     def run(batches):
         for batch in batches:
-            counts: dict[bytes, int] = {}
+            counts: Counter = Counter()
             for value in batch.column(0):
-                for w in words_of(value.as_py()):
-                    counts[w] = counts.get(w, 0) + 1
+                counts.update(words_of(value.as_py()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
             )
@@ -67,21 +67,28 @@ def vocabulary(docs: DataFrame, text: str = "text") -> list[bytes]:
     return [bytes(r[0]) for r in top.collect()]
 
 
+class Numbers(dict):
+    """The number of each frequent word; any other word falls into a rare class by its checksum."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__((w, i) for i, w in enumerate(words, 1))
+        self.rare = len(words) + 1
+
+    def __missing__(self, word: bytes) -> int:
+        return self.rare + zlib.crc32(word) % RARE
+
+
 def with_ids(docs: DataFrame, words: list[bytes], text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """(row, ids): the columns of each document and its words as 16-bit numbers."""
-    shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words, 1)})
-    first_rare = len(words) + 1
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
-        place = dict(shared.value)
+        number = Numbers(shared.value).__getitem__
         for batch in batches:
             found = []
             for value in batch.column(1):
                 split = words_of(value.as_py())
-                ids = np.fromiter(map(place.get, split, repeat(0)), np.uint16, len(split))
-                for i in np.flatnonzero(ids == 0).tolist():
-                    ids[i] = first_rare + zlib.crc32(split[i]) % RARE
-                found.append(ids.tobytes())
+                found.append(np.fromiter(map(number, split), np.uint16, len(split)).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["row", "ids"])
 
     row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
@@ -96,10 +103,9 @@ class WindowNetwork:
     SHAPES = {
         "inputs": (len(OFFSETS), WORDS, HIDDEN),
         "hidden": (HIDDEN,),
-        "group": (HIDDEN, GROUPS),
-        "group_bias": (GROUPS,),
-        "member": (GROUPS, HIDDEN, MEMBERS),
-        "member_bias": (GROUPS, MEMBERS),
+        # The last row of output weights is their bias.
+        "group": (HIDDEN + 1, GROUPS),
+        "member": (GROUPS, HIDDEN + 1, MEMBERS),
     }
 
     def __init__(self, flat: np.ndarray | None = None):
@@ -115,62 +121,81 @@ class WindowNetwork:
         self.seen: np.ndarray | None = None
 
     def _hidden(self, context: list[np.ndarray]) -> np.ndarray:
-        total = self.parts["hidden"] + self.parts["inputs"][0][context[0]]
+        """The hidden layer, and a last column of ones."""
+        total = self.parts["hidden"] + np.take(self.parts["inputs"][0], context[0], axis=0)
         for table, words in zip(self.parts["inputs"][1:], context[1:], strict=True):
-            total += table[words]
-        return np.tanh(total, out=total)
+            total += np.take(table, words, axis=0)
+        out = np.ones((len(total), HIDDEN + 1), total.dtype)
+        np.tanh(total, out=out[:, :HIDDEN])
+        return out
 
-    def _by_group(self, words: np.ndarray):
-        """Positions of the words of each group that comes up."""
-        group = words // MEMBERS
+    @staticmethod
+    def _by_group(words: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+        """An order that puts the words of a group together, and the groups' bounds in it."""
+        # Numbers of 16 bits or fewer are sorted by radix.
+        group = (words // MEMBERS).astype(np.uint8)
         order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
-        return [(g, order[a:b]) for g, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+        cuts = np.searchsorted(group[order], np.arange(GROUPS + 1)).tolist()
+        return order, [(g, a, b) for g, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
 
     @staticmethod
-    def _softmax(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(axis=1, keepdims=True)
+    def _softmax(hidden: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        logits = hidden @ weights
+        # Hidden values lie in [-1, 1], which bounds the logits; shift them only where exp could overflow.
+        if np.abs(weights).sum(axis=0).max() > 80:
+            logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
+        logits /= logits @ np.ones((logits.shape[1], 1), logits.dtype)
         return logits
 
     def log_probabilities(self, words: np.ndarray, context: list[np.ndarray]) -> np.ndarray:
         """Natural logarithm of the probability of each word given its context."""
-        hidden = self._hidden(context)
-        group = self._softmax(hidden @ self.parts["group"] + self.parts["group_bias"])
-        out = np.log(np.maximum(group[np.arange(len(words)), words // MEMBERS], 1e-30)).astype(np.float64)
-        for g, at in self._by_group(words):
-            member = self._softmax(hidden[at] @ self.parts["member"][g] + self.parts["member_bias"][g])
-            out[at] += np.log(np.maximum(member[np.arange(len(at)), words[at] % MEMBERS], 1e-30))
+        order, groups = self._by_group(words)
+        words = words[order]
+        hidden = self._hidden([c[order] for c in context])
+        group = self._softmax(hidden, self.parts["group"])
+        ranked = np.empty(len(words), dtype=np.float64)
+        for g, a, b in groups:
+            member = self._softmax(hidden[a:b], self.parts["member"][g])
+            ranked[a:b] = group[a:b, g] * member[np.arange(b - a), words[a:b] % MEMBERS]
+        out = np.empty_like(ranked)
+        out[order] = np.log(np.maximum(ranked, 1e-30))
         return out
 
     def step(self, words: np.ndarray, context: list[np.ndarray]) -> None:
         """One gradient step over a batch."""
-        n = np.float32(len(words))
+        order, groups = self._by_group(words)
+        words, context = words[order], [c[order] for c in context]
         hidden = self._hidden(context)
         grad = WindowNetwork(np.zeros_like(self.flat))
-        by_group = self._softmax(hidden @ self.parts["group"] + self.parts["group_bias"])
-        by_group[np.arange(len(words)), words // MEMBERS] -= 1
+        by_group = self._softmax(hidden, self.parts["group"])
+        for g, a, b in groups:
+            by_group[a:b, g] -= 1
         grad.parts["group"][:] = hidden.T @ by_group
-        grad.parts["group_bias"][:] = by_group.sum(axis=0)
         back = by_group @ self.parts["group"].T
-        for g, at in self._by_group(words):
-            part = hidden[at]
-            member = self._softmax(part @ self.parts["member"][g] + self.parts["member_bias"][g])
-            member[np.arange(len(at)), words[at] % MEMBERS] -= 1
+        for g, a, b in groups:
+            part = hidden[a:b]
+            member = self._softmax(part, self.parts["member"][g])
+            member[np.arange(b - a), words[a:b] % MEMBERS] -= 1
             grad.parts["member"][g] = part.T @ member
-            grad.parts["member_bias"][g] = member.sum(axis=0)
-            back[at] += member @ self.parts["member"][g].T
-        back *= 1 - hidden**2
-        grad.parts["hidden"][:] = back.sum(axis=0)
+            back[a:b] += member @ self.parts["member"][g].T
+        hidden *= hidden
+        back *= 1 - hidden
+        lines = np.ascontiguousarray(back.T[:HIDDEN])
+        grad.parts["hidden"][:] = lines.sum(axis=1)
         for table, seen in zip(grad.parts["inputs"], context, strict=True):
-            order = np.argsort(seen, kind="stable")
-            ranked = seen[order]
-            first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-            table[ranked[first]] = np.add.reduceat(back[order], first, axis=0)
-        slope = grad.flat / n
-        self.seen = slope**2 if self.seen is None else self.seen + slope**2
-        self.flat -= RATE * slope / (np.sqrt(self.seen) + 1e-5)
+            for i, line in enumerate(lines):
+                table[:, i] = np.bincount(seen, weights=line, minlength=WORDS)
+        slope = grad.flat
+        slope /= np.float32(len(words))
+        if self.seen is None:
+            self.seen = np.zeros_like(slope)
+        self.seen += slope * slope
+        root = np.sqrt(self.seen)
+        root += np.float32(1e-5)
+        slope /= root
+        slope *= np.float32(RATE)
+        self.flat -= slope
 
 
 def stream(documents: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
