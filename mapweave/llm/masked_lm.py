@@ -2,9 +2,11 @@
 
 A network of one hidden layer predicts every word of a document from the words on
 both sides of it. The logarithms of these conditional probabilities, summed over a
-text, are its score. Words are the most frequent of all documents; rarer ones share a
-few classes by hash. The output is a softmax over groups of words, then over
-the words of the group.
+text, are its score. The most frequent words of all documents are listed, and the list grows
+with the square root of the corpus; rarer words share classes by hash. The output is a
+softmax over groups of words, then over the words of the group. A rarer word's
+probability is that of its class times the word's share of all occurrences of the class,
+so that every word has its own.
 
 Training runs where the data is. In each round every task starts from the same
 parameters, takes gradient steps over all its documents and gives its parameters, which are
@@ -14,6 +16,7 @@ parameters, whatever the size of the corpus.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 
@@ -25,10 +28,12 @@ from pyspark.sql import types as T
 
 from mapweave.llm import common
 
-# As many groups as members in each makes the two softmaxes cheapest.
-GROUPS, MEMBERS = 32, 32
-WORDS = GROUPS * MEMBERS
-RARE = 63
+# As many groups as members in each makes the two softmaxes cheapest. A small corpus
+# has this many; see groups_for.
+GROUPS = 32
+WORDS = GROUPS * GROUPS
+# Numbers that are shared out to one rare class.
+PER_CLASS = 16
 SIDE = 2
 HIDDEN = 24
 ROUNDS = 2
@@ -44,8 +49,25 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> list[bytes]:
-    """The most frequent words of all documents, counted over whole texts; ties by bytes."""
+def rare_classes(groups: int) -> int:
+    return groups * groups // PER_CLASS - 1
+
+
+def most_words(groups: int) -> int:
+    """Words that can be listed beside the boundary of texts, which is word 0, and the rare classes."""
+    return groups * groups - rare_classes(groups) - 1
+
+
+def groups_for(words: list[bytes]) -> int:
+    """The least number of groups, and of members in each, that holds the listed words."""
+    groups = GROUPS
+    while most_words(groups) < len(words):
+        groups += 1
+    return groups
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): the occurrences of every word over the whole texts of all documents."""
 
     def run(batches):
         for batch in batches:
@@ -56,70 +78,134 @@ def vocabulary(docs: DataFrame, text: str = "text") -> list[bytes]:
                 [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"]
             )
 
-    sums = (
+    return (
         docs.select(F.col(f"`{text}`").cast("string").alias("text"))
         .mapInArrow(run, "word binary, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
-    # The boundary of texts is word 0, and the rare classes follow the frequent words.
-    top = sums.orderBy(F.desc("n"), "word").limit(WORDS - RARE - 1)
-    return [bytes(r[0]) for r in top.collect()]
+
+
+def frequent(counts: DataFrame) -> list[bytes]:
+    """The most frequent words of (word, n), most frequent first; ties by bytes.
+
+    There are about half as many as the square root of all occurrences, or WORDS in a small
+    corpus. ``counts`` is read several times and should be staged.
+    """
+    # A corpus has few different counts: their sum is at most the number of its words.
+    sizes = sorted(map(tuple, counts.groupBy("n").count().collect()), reverse=True)
+    total = sum(n * words for n, words in sizes)
+    room = most_words(max(GROUPS, math.isqrt(math.isqrt(total) // 2)))
+    least = 0
+    for n, words in sizes:
+        if words > room:
+            least = n
+            break
+        room -= words
+    rows = counts.where(F.col("n") > least).collect()
+    if least and room:
+        rows += counts.where(F.col("n") == least).orderBy("word").limit(room).collect()
+    return [w for _, w in sorted((-r["n"], bytes(r["word"])) for r in rows)]
+
+
+def vocabulary(docs: DataFrame, text: str = "text") -> list[bytes]:
+    """The listed words of documents, counted over whole texts."""
+    return frequent(common.staging(docs).table(word_counts(docs, text), "word_counts"))
 
 
 class Numbers(dict):
-    """The number of each frequent word; any other word falls into a rare class by its checksum."""
+    """The number of each listed word; any other word falls into a rare class by its checksum."""
 
     def __init__(self, words: list[bytes]):
         super().__init__((w, i) for i, w in enumerate(words, 1))
         self.rare = len(words) + 1
+        self.classes = rare_classes(groups_for(words))
 
     def __missing__(self, word: bytes) -> int:
-        return self.rare + zlib.crc32(word) % RARE
+        return self.rare + zlib.crc32(word) % self.classes
+
+
+RARE_WORDS = T.ArrayType(T.StructType([T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType())]))
 
 
 def with_ids(docs: DataFrame, words: list[bytes], text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(row, ids): the columns of each document and its words as 16-bit numbers."""
+    """(row, ids, rare): the columns of each document, its words as 32-bit numbers, and
+    its distinct words that are not listed, with their occurrences in it."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
-        number = Numbers(shared.value).__getitem__
+        numbers = Numbers(shared.value)
+        number, listed = numbers.__getitem__, numbers.keys()
         for batch in batches:
-            found = []
+            found, ends, rare, times = [], [0], [], []
             for value in batch.column(1):
                 split = words_of(value.as_py())
-                found.append(np.fromiter(map(number, split), np.uint16, len(split)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["row", "ids"])
+                found.append(np.fromiter(map(number, split), np.uint32, len(split)).tobytes())
+                counts = Counter([w for w in split if w not in listed])
+                rare += counts
+                times += counts.values()
+                ends.append(len(rare))
+            pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "times"])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+            arrays = [batch.column(0), pa.array(found, pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "ids", "rare"])
 
     row = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row")
     narrow = docs.select(row, F.col(f"`{text}`").cast("string").alias("text"))
-    schema = T.StructType([T.StructField("row", narrow.schema["row"].dataType), T.StructField("ids", T.BinaryType())])
+    schema = T.StructType(
+        [
+            T.StructField("row", narrow.schema["row"].dataType),
+            T.StructField("ids", T.BinaryType()),
+            T.StructField("rare", RARE_WORDS),
+        ]
+    )
     return narrow.mapInArrow(run, schema)
 
 
+def class_shares(counts: DataFrame, words: list[bytes]) -> DataFrame:
+    """(word, log_share): of every word of (word, n) that is not listed, the logarithm of its
+    share of all occurrences of its class."""
+    listed = counts.sparkSession.createDataFrame([(w,) for w in words], "word binary")
+    classes = rare_classes(groups_for(words))
+    rare = counts.join(F.broadcast(listed), "word", "left_anti").withColumn("class", F.crc32("word") % classes)
+    sums = rare.groupBy("class").agg(F.sum("n").alias("total"))
+    return rare.join(F.broadcast(sums), "class").select("word", F.log(F.col("n") / F.col("total")).alias("log_share"))
+
+
+def within_classes(ids: DataFrame, shares: DataFrame) -> DataFrame:
+    """(key, inside): the summed log_share of the words of each document of (key, rare) that are not listed."""
+    pairs = ids.select("key", F.explode("rare").alias("pair")).select("key", "pair.*")
+    return pairs.join(shares, "word").groupBy("key").agg(F.sum(F.col("times") * F.col("log_share")).alias("inside"))
+
+
 class WindowNetwork:
     """Parameters and steps of the network."""
 
-    SHAPES = {
-        "inputs": (len(OFFSETS), WORDS, HIDDEN),
-        "hidden": (HIDDEN,),
-        # The last row of output weights is their bias.
-        "group": (HIDDEN + 1, GROUPS),
-        "member": (GROUPS, HIDDEN + 1, MEMBERS),
-    }
-
-    def __init__(self, flat: np.ndarray | None = None):
+    def __init__(self, flat: np.ndarray | None = None, groups: int = GROUPS):
+        self.groups = groups
+        shapes = {
+            "inputs": (len(OFFSETS), groups * groups, HIDDEN),
+            "hidden": (HIDDEN,),
+            # The last row of output weights is their bias.
+            "group": (HIDDEN + 1, groups),
+            "member": (groups, HIDDEN + 1, groups),
+        }
         if flat is None:
             draw = np.random.default_rng(SEED)
-            flat = np.concatenate([draw.normal(0, 0.1, np.prod(s)) * (len(s) > 1) for s in self.SHAPES.values()])
+            flat = np.concatenate([draw.normal(0, 0.1, np.prod(s)) * (len(s) > 1) for s in shapes.values()])
         self.flat = flat.astype(np.float32)
-        self.parts, at = {}, 0
-        for name, shape in self.SHAPES.items():
-            size = int(np.prod(shape))
-            self.parts[name] = self.flat[at : at + size].reshape(shape)
-            at += size
+        self.shapes = shapes
+        self.parts = self._parted(self.flat)
         self.seen: np.ndarray | None = None
 
+    def _parted(self, flat: np.ndarray, names: list[str] | None = None) -> dict[str, np.ndarray]:
+        parts, at = {}, 0
+        for name in names or self.shapes:
+            size = int(np.prod(self.shapes[name]))
+            parts[name] = flat[at : at + size].reshape(self.shapes[name])
+            at += size
+        return parts
+
     def _hidden(self, context: list[np.ndarray]) -> np.ndarray:
         """The hidden layer, and a last column of ones."""
         total = self.parts["hidden"] + np.take(self.parts["inputs"][0], context[0], axis=0)
@@ -129,13 +215,12 @@ class WindowNetwork:
         np.tanh(total, out=out[:, :HIDDEN])
         return out
 
-    @staticmethod
-    def _by_group(words: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    def _by_group(self, words: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
         """An order that puts the words of a group together, and the groups' bounds in it."""
         # Numbers of 16 bits or fewer are sorted by radix.
-        group = (words // MEMBERS).astype(np.uint8)
+        group = (words // self.groups).astype(np.uint16)
         order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(GROUPS + 1)).tolist()
+        cuts = np.searchsorted(group[order], np.arange(self.groups + 1)).tolist()
         return order, [(g, a, b) for g, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
 
     @staticmethod
@@ -157,7 +242,7 @@ class WindowNetwork:
         ranked = np.empty(len(words), dtype=np.float64)
         for g, a, b in groups:
             member = self._softmax(hidden[a:b], self.parts["member"][g])
-            ranked[a:b] = group[a:b, g] * member[np.arange(b - a), words[a:b] % MEMBERS]
+            ranked[a:b] = group[a:b, g] * member[np.arange(b - a), words[a:b] % self.groups]
         out = np.empty_like(ranked)
         out[order] = np.log(np.maximum(ranked, 1e-30))
         return out
@@ -167,35 +252,53 @@ class WindowNetwork:
         order, groups = self._by_group(words)
         words, context = words[order], [c[order] for c in context]
         hidden = self._hidden(context)
-        grad = WindowNetwork(np.zeros_like(self.flat))
+        if self.seen is None:
+            self.seen = np.zeros_like(self.flat)
+        # The inputs come first; a step changes only the lines of words in its contexts.
+        inputs, tail = self.parts["inputs"], self.parts["inputs"].size
+        slope = np.zeros_like(self.flat[tail:])
+        grad = self._parted(slope, list(self.shapes)[1:])
         by_group = self._softmax(hidden, self.parts["group"])
         for g, a, b in groups:
             by_group[a:b, g] -= 1
-        grad.parts["group"][:] = hidden.T @ by_group
+        grad["group"][:] = hidden.T @ by_group
         back = by_group @ self.parts["group"].T
         for g, a, b in groups:
             part = hidden[a:b]
             member = self._softmax(part, self.parts["member"][g])
-            member[np.arange(b - a), words[a:b] % MEMBERS] -= 1
-            grad.parts["member"][g] = part.T @ member
+            member[np.arange(b - a), words[a:b] % self.groups] -= 1
+            grad["member"][g] = part.T @ member
             back[a:b] += member @ self.parts["member"][g].T
         hidden *= hidden
         back *= 1 - hidden
         lines = np.ascontiguousarray(back.T[:HIDDEN])
-        grad.parts["hidden"][:] = lines.sum(axis=1)
-        for table, seen in zip(grad.parts["inputs"], context, strict=True):
+        grad["hidden"][:] = lines.sum(axis=1)
+        number = np.float32(len(words))
+        for table, past, near in zip(inputs, self._parted(self.seen)["inputs"], context, strict=True):
+            there = np.zeros(len(table), bool)
+            there[near] = True
+            changed = np.flatnonzero(there)
+            place = np.zeros(len(table), np.intp)
+            place[changed] = np.arange(len(changed))
+            at = place[near]
+            own = np.empty((len(changed), HIDDEN), np.float32)
             for i, line in enumerate(lines):
-                table[:, i] = np.bincount(seen, weights=line, minlength=WORDS)
-        slope = grad.flat
-        slope /= np.float32(len(words))
-        if self.seen is None:
-            self.seen = np.zeros_like(slope)
-        self.seen += slope * slope
-        root = np.sqrt(self.seen)
+                own[:, i] = np.bincount(at, weights=line, minlength=len(changed))
+            own /= number
+            sums = past[changed] + own * own
+            past[changed] = sums
+            table[changed] -= self._scaled(own, sums)
+        slope /= number
+        self.seen[tail:] += slope * slope
+        self.flat[tail:] -= self._scaled(slope, self.seen[tail:])
+
+    @staticmethod
+    def _scaled(slope: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        root = np.sqrt(sums)
         root += np.float32(1e-5)
         slope /= root
         slope *= np.float32(RATE)
-        self.flat -= slope
+        return slope
 
 
 def stream(documents: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -203,10 +306,10 @@ def stream(documents: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.nda
 
     Texts are set apart by boundary words, which are context but never predicted.
     """
-    gap = np.zeros(SIDE, np.uint16)
+    gap = np.zeros(SIDE, np.uint32)
     parts, sizes = [gap], []
     for data in documents:
-        ids = np.frombuffer(data, np.uint16)
+        ids = np.frombuffer(data, np.uint32)
         parts += [ids, gap]
         sizes.append(len(ids))
     line = np.concatenate(parts).astype(np.int64)
@@ -219,7 +322,7 @@ def _chunks(batches, column: int):
     for batch in batches:
         begin, size = 0, 0
         for i, value in enumerate(batch.column(column)):
-            size += len(value.as_buffer()) // 2
+            size += len(value.as_buffer()) // 4
             if size >= CHUNK:
                 yield batch.slice(begin, i + 1 - begin)
                 begin, size = i + 1, 0
@@ -227,14 +330,14 @@ def _chunks(batches, column: int):
             yield batch.slice(begin)
 
 
-def trained(ids: DataFrame, rounds: int = ROUNDS) -> WindowNetwork:
+def trained(ids: DataFrame, rounds: int = ROUNDS, groups: int = GROUPS) -> WindowNetwork:
     """Train on all documents of (row, ids); without words the first parameters stay."""
-    network = WindowNetwork()
+    network = WindowNetwork(groups=groups)
     for number in range(rounds):
         shared = ids.sparkSession.sparkContext.broadcast(network.flat)
 
         def run(batches, shared=shared, number=number):
-            own, count = WindowNetwork(shared.value.copy()), 0
+            own, count = WindowNetwork(shared.value.copy(), groups), 0
             draw = np.random.default_rng(SEED + number)
             for part in _chunks(batches, 0):
                 words, context, _ = stream([v.as_py() for v in part.column(0)])
@@ -244,23 +347,33 @@ def trained(ids: DataFrame, rounds: int = ROUNDS) -> WindowNetwork:
                     own.step(words[at], [c[at] for c in context])
                 count += len(words)
             if count:
-                places = pa.array(np.arange(-1, len(own.flat)), pa.int32())
-                values = pa.array(np.concatenate(([1.0], own.flat.astype(np.float64))) * count)
+                # Words that a task has not seen keep their parameters there.
+                moved = own.flat.astype(np.float64) - shared.value
+                at = np.flatnonzero(moved)
+                places = pa.array(np.concatenate(([-1], at)), pa.int32())
+                values = pa.array(np.concatenate(([1.0], moved[at])) * count)
                 yield pa.RecordBatch.from_arrays([places, values], names=["place", "value"])
 
         sums = ids.select("ids").mapInArrow(run, "place int, value double").groupBy("place").agg(F.sum("value").alias("value"))
-        got = sums.toPandas().sort_values("place")["value"].to_numpy()
+        got = sums.toPandas().sort_values("place")
         if len(got):
-            network = WindowNetwork(got[1:] / got[0])
+            value = got["value"].to_numpy()
+            flat = network.flat.astype(np.float64)
+            flat[got["place"].to_numpy()[1:]] += value[1:] / value[0]
+            network = WindowNetwork(flat, groups)
     return network
 
 
 def scored(ids: DataFrame, network: WindowNetwork) -> DataFrame:
-    """(row, n_words, log_likelihood) of every document of (row, ids)."""
+    """(row, n_words, log_likelihood) of every document of (row, ids).
+
+    A word that is not listed counts with the probability of its class; see ``within_classes``.
+    """
     shared = ids.sparkSession.sparkContext.broadcast(network.flat)
+    groups = network.groups
 
     def run(batches):
-        net = WindowNetwork(shared.value)
+        net = WindowNetwork(shared.value, groups)
         for part in _chunks(batches, 1):
             words, context, sizes = stream([v.as_py() for v in part.column(1)])
             sums = np.zeros(len(sizes))
@@ -276,7 +389,7 @@ def scored(ids: DataFrame, network: WindowNetwork) -> DataFrame:
     schema = T.StructType(
         [row, T.StructField("n_words", T.LongType()), T.StructField("log_likelihood", T.DoubleType())]
     )
-    return ids.mapInArrow(run, schema)
+    return ids.select("row", "ids").mapInArrow(run, schema)
 
 
 def pseudo_likelihood(docs: DataFrame, text: str = "text", keep: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
@@ -286,5 +399,12 @@ def pseudo_likelihood(docs: DataFrame, text: str = "text", keep: list[str] | Non
     words and log-likelihood 0. Repeated rows each give theirs, and count as often in training.
     """
     stage = common.staging(docs)
-    ids = stage.table(with_ids(docs, vocabulary(docs, text), text, keep), "word_ids")
-    return scored(ids, trained(ids, rounds))
+    counts = stage.table(word_counts(docs, text), "word_counts")
+    words = frequent(counts)
+    ids = with_ids(docs, words, text, keep).withColumn("key", F.monotonically_increasing_id())
+    ids = stage.table(ids, "word_ids")
+    inside = within_classes(ids, class_shares(counts, words))
+    keyed = ids.select(F.struct("row", "key").alias("row"), "ids")
+    by_class = scored(keyed, trained(ids, rounds, groups_for(words))).select("row.row", "row.key", "n_words", "log_likelihood")
+    whole = F.col("log_likelihood") + F.coalesce("inside", F.lit(0.0))
+    return by_class.join(inside, "key", "left").select("row", "n_words", whole.alias("log_likelihood"))

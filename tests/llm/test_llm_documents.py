@@ -481,3 +481,32 @@ def test_gradient_of_the_network():
         # The first step goes against the slope.
         if abs(slope) > 1e-4:
             assert np.sign(stepped.flat[at] - base.flat[at]) == -np.sign(slope)
+
+
+def test_rare_words_have_their_own_probability(spark):
+    classes = masked_lm.rare_classes(masked_lm.GROUPS)
+    by_class = {}
+    for i in range(200):
+        by_class.setdefault(zlib.crc32(b"rare%d" % i) % classes, []).append(f"rare{i}")
+    a, b = next(c for c in by_class.values() if len(c) > 1)[:2]
+    often = " ".join(f"often{i}" for i in range(masked_lm.most_words(masked_lm.GROUPS)))
+    texts = [often] * 10 + [f"often1 {a} often2", f"often1 {b} often2", *[f"often3 {a}"] * 4]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.row.doc_id: r.log_likelihood for r in masked_lm.pseudo_likelihood(docs, rounds=1).collect()}
+    assert len(rows) == len(texts)
+    # The contexts and the class are the same; five occurrences stand against one.
+    assert rows[10] - rows[11] == pytest.approx(np.log(5), abs=1e-4)
+    counts = masked_lm.word_counts(docs)
+    shares = masked_lm.class_shares(counts, masked_lm.frequent(counts)).collect()
+    assert {r.word.decode(): np.exp(r.log_share) for r in shares} == pytest.approx({a: 5 / 6, b: 1 / 6})
+
+
+def test_listed_words_grow_with_the_corpus(spark):
+    counts = spark.range(1, 5001).selectExpr("cast(cast(id AS string) AS binary) AS word", "10000000 div id AS n")
+    words = masked_lm.frequent(counts)
+    total = sum(10_000_000 // i for i in range(1, 5001))
+    assert 2000 < masked_lm.most_words(masked_lm.GROUPS) * 3 < len(words) < total**0.5
+    assert words[:3] == [b"1", b"2", b"3"] and len(set(words)) == len(words)
+    assert masked_lm.most_words(masked_lm.groups_for(words)) >= len(words)
+    few = masked_lm.frequent(counts.selectExpr("word", "1L AS n"))
+    assert few == sorted(str(i).encode() for i in range(1, 5001))[: masked_lm.most_words(masked_lm.GROUPS)]
