@@ -260,12 +260,13 @@ def near_duplicates(
     most_bits: int = MOST_BITS,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """(row, fingerprint, component_id): one row per document.
+    """(row, fingerprint, component_id, root): one row per document.
 
     ``component_id`` is the least document id that can be reached through links, the document
     itself included. Null and empty texts have fingerprint zero and are linked like
     any other. Repeated rows each give their row. Null ids count only where a
-    component has no other. ``keep`` names the columns of ``row``; all by default.
+    component has no other. ``root`` is a fingerprint of the component that stands for
+    it, also where components share an id or have none. ``keep`` names the columns of ``row``; all by default.
     """
     stage = common.staging(docs)
     narrow = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*(keep or docs.columns), text])])
@@ -281,8 +282,8 @@ def near_duplicates(
     )
     rooted = stage.table(rooted, "rooted_fingerprints")
     least = stage.table(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component_ids")
-    named = stage.table(rooted.join(least, "root").select("value", "component_id"), "named_fingerprints")
-    return printed.join(named, F.col("fingerprint") == F.col("value")).select("row", "fingerprint", "component_id")
+    named = stage.table(rooted.join(least, "root").select("value", "component_id", "root"), "named_fingerprints")
+    return printed.join(named, F.col("fingerprint") == F.col("value")).select("row", "fingerprint", "component_id", "root")
 
 
 def hex_digits(value: str = "fingerprint") -> Column:
@@ -297,9 +298,8 @@ def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **
     found = near_duplicates(docs, text, doc_id, **options)
     kept = found.where(F.col(f"row.`{doc_id}`").eqNullSafe(F.col("component_id")))
     body = F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit(""))
-    # A component whose ids are all null is known by its least fingerprint only.
-    unnamed = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
-    one = kept.groupBy("component_id", unnamed.alias("_unnamed")).agg(
+    # Components may share their least id, or have none.
+    one = kept.groupBy("root").agg(
         F.min_by("row", F.struct(F.crc32(body.cast("binary")), F.length(body))).alias("row")
     )
     return one.select("row.*")

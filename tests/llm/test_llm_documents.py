@@ -510,3 +510,14 @@ def test_listed_words_grow_with_the_corpus(spark):
     assert masked_lm.most_words(masked_lm.groups_for(words)) >= len(words)
     few = masked_lm.frequent(counts.selectExpr("word", "1L AS n"))
     assert few == sorted(str(i).encode() for i in range(1, 5001))[: masked_lm.most_words(masked_lm.GROUPS)]
+
+
+def test_components_that_share_their_id_stay_apart(spark):
+    texts = [" ".join(f"{topic}{i}" for i in range(60)) for topic in ("sea", "hill", "town")]
+    docs = spark.createDataFrame([(1, t) for t in texts] + [(2, texts[0])], "doc_id long, text string")
+    assert sorted(r.text for r in simhash.deduplicated(docs).collect()) == sorted(texts)
+    # Two fingerprints, linked, without any id: one row.
+    linked = spark.createDataFrame([(None, texts[0]), (None, texts[0] + " sea60")], docs.schema)
+    found = simhash.near_duplicates(linked, most_bits=63).collect()
+    assert len({r.fingerprint for r in found}) == 2 and len({r.root for r in found}) == 1
+    assert simhash.deduplicated(linked, most_bits=63).count() == 1
