@@ -242,11 +242,11 @@ def _scan_part(docs: DataFrame, part, text: str) -> DataFrame:
 
 
 def item_parts(items: DataFrame, item_id: str, text: str) -> tuple[DataFrame, int]:
-    """Items with a text, each with the number of its part; and the count of parts."""
+    """Distinct items with a text, each with the number of its part; and the count of parts."""
     kept = items.select(
         F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("item"),
         F.col(f"`{text}`").cast("string").alias("text"),
-    ).where(F.col("text").isNotNull())
+    ).where(F.col("text").isNotNull()).distinct()
     total = kept.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // (PART_BYTES // 2)))
     return kept.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(parts))), parts

@@ -521,3 +521,10 @@ def test_components_that_share_their_id_stay_apart(spark):
     found = simhash.near_duplicates(linked, most_bits=63).collect()
     assert len({r.fingerprint for r in found}) == 2 and len({r.root for r in found}) == 1
     assert simhash.deduplicated(linked, most_bits=63).count() == 1
+
+
+def test_repeated_items_are_held_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 60)
+    items = spark.createDataFrame([("a", "one two three")] * 500 + [("b", "four five six")], "item_id string, text string")
+    split, parts = decontaminate.item_parts(items, "item_id", "text")
+    assert parts == 1 and sorted((r["item"], r["text"]) for r in split.collect()) == [("a", "one two three"), ("b", "four five six")]
