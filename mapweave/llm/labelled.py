@@ -22,10 +22,13 @@ def training_rows(
     """(text, label) of at most ``sample`` labelled documents outside the held-out fold.
 
     The sample is the same on every run: the labels with the least hash of their id. An id
-    with both labels is left out. The ids are broadcast, which ``sample`` bounds.
+    with both labels is left out. The ids are broadcast, which ``sample`` bounds. Of several
+    rows with an id, the one with the least hash of its text is taken.
     """
     known = labels.where(~is_held_out(doc_id) & F.col(f"`{label}`").isNotNull()).groupBy(F.col(f"`{doc_id}`").alias("_id"))
     sure = known.agg(F.min(f"`{label}`").alias("label"), F.max(f"`{label}`").alias("_most")).where("label = _most")
     chosen = sure.orderBy(F.xxhash64("_id"), "_id").limit(sample).select("_id", F.col("label").cast("int").alias("label"))
     rows = docs.select(F.col(f"`{doc_id}`").alias("_doc"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("text", "label")
+    found = rows.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+    one = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    return found.groupBy("_id").agg(one, F.min("label").alias("label")).select("text", "label")

@@ -528,3 +528,12 @@ def test_repeated_items_are_held_once(spark, monkeypatch):
     items = spark.createDataFrame([("a", "one two three")] * 500 + [("b", "four five six")], "item_id string, text string")
     split, parts = decontaminate.item_parts(items, "item_id", "text")
     assert parts == 1 and sorted((r["item"], r["text"]) for r in split.collect()) == [("a", "one two three"), ("b", "four five six")]
+
+
+def test_one_training_row_for_each_labelled_id(spark):
+    named = next(i for i in range(1, 100) if zlib.crc32(str(i).encode()) % labelled.FOLDS)
+    docs = spark.createDataFrame([(named, f"text {i}") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(named, 1)], "doc_id long, quality int")
+    rows = labelled.training_rows(docs, labels, "quality").collect()
+    again = labelled.training_rows(docs.repartition(7), labels, "quality").collect()
+    assert len(rows) == 1 and rows == again and rows[0].label == 1
