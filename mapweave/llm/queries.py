@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapweave.llm import common, decontaminate, labelled, masked_lm, mixing, quality, sharding, simhash, token_file, topk, toxicity, warc
+from mapweave.llm import (
+    common, decontaminate, labelled, masked_lm, mixing, phrases, piece_tokens, quality, sharding, simhash, spelling,
+    token_file, topk, toxicity, warc,
+)
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,6 +147,58 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "log_likelihood", per_word.alias("per_word"))
 
 
+def op11_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    found = piece_tokens.encoded(docs, keep=["doc_id"], decode=True)
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(common.table(spark, sf_dir, "documents"))
+
+
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+totals AS (SELECT lang, sum(len(words))::bigint AS n FROM w GROUP BY lang),
+starts AS (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) s(m)),
+f AS (
+  SELECT lang, m, array_to_string(words[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM starts GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM cand),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         (2000000::hugeint * c.a // (x.f::hugeint + y.f))::bigint AS score
+  FROM cuts c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[k + 1:c.m], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_sizes AS (SELECT *, unnest(range(2, m)) AS im FROM cand),
+inner_starts AS (SELECT *, unnest(range(1, m - im + 2)) AS i FROM inner_sizes),
+held AS (SELECT lang, array_to_string(ws[i:i + im - 1], ' ') AS phrase, max(a) AS most FROM inner_starts GROUP BY ALL),
+kept AS (
+  SELECT best.* FROM best LEFT JOIN held USING (lang, phrase)
+  WHERE most IS NULL OR 100::hugeint * most < 80::hugeint * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = spelling.vocabulary(common.table(spark, sf_dir, "documents"))
+    return spelling.variants(vocabulary)
+
+
 def queries() -> dict:
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -156,8 +211,11 @@ def queries() -> dict:
         "op8_quality_classifier": op8_quality_classifier,
         "op9_toxicity": op9_toxicity,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_piece_tokens": op11_piece_tokens,
+        "op12_phrases": op12_phrases,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_top_k": OP3, "op4_benchmark_decontamination": OP4, "op7_warc": OP7}
+    return {"op3_exact_top_k": OP3, "op4_benchmark_decontamination": OP4, "op7_warc": OP7, "op12_phrases": OP12}
