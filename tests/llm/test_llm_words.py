@@ -189,7 +189,7 @@ def brute_variants(counts, times=5):
         root = w
         while form[root] is not None:
             root = form[root]
-        out.add((w, form[w], root, counts[w], len(near[w]), counts[form[w]] if form[w] else None))
+        out.add((w, form[w], root, counts[w], len(near[w]), counts.get(form[w])))
     return out
 
 
@@ -207,7 +207,7 @@ def test_variants_are_those_of_brute_force(documents):
     assert any(r[1] is not None for r in got)
 
 
-@pytest.mark.parametrize("limit", [1, 2, 7, 10_000])
+@pytest.mark.parametrize("limit", [1, 7, 10_000])
 def test_partitions_of_any_size_give_each_pair_once(spark, limit):
     draw = random.Random(limit)
     words = {"".join(draw.choices("aab", k=draw.randint(0, 9))) for _ in range(400)} | {"a" * 40, "a" * 41, "b" + "a" * 40}
