@@ -6,9 +6,9 @@ words, then longer phrases of such pairs. A phrase that is frequent in all docum
 in one shard at least, so the union of the shards' phrases misses none; all of them are then
 counted exactly over all documents, as text.
 
-Shards are spread over all tasks: a task counts what it reads, and sums meet by the hash of a phrase.
-What passes from one level to the next is a bitmap of hashes of fixed size. Two phrases on
-one bit only make one more candidate for the exact count.
+Shards are spread over all tasks: a task counts what it reads, and sums meet by 32 bits of a hash of
+the phrase. What passes from one level to the next is a bitmap of fixed size. Phrases that share
+a hash, or a bit, only make more candidates for the exact count.
 """
 
 from __future__ import annotations
@@ -30,13 +30,13 @@ COVERED = 80
 FIRST = 2000
 SCALE = 2_000_000
 UNKNOWN_LANG = "und"
-# Bits of one level's bitmap: 16 MB.
-BITS = 27
+# Bits of a hash that are summed by, and those that find a place in one level's bitmap of 16 MB.
+HASH_BITS, BITS = 32, 27
 BUCKET = 1 << 15
 # Bytes of text taken at a time, phrase numbers and words held by a task before they are summed.
-BYTES, HELD, WORDS = 4 << 20, 1 << 22, 1 << 19
-# Phrases given out at a time.
-ROWS = 50_000
+BYTES, HELD, WORDS = 4 << 20, 1 << 22, 1 << 18
+# Texts taken and phrases given out at a time.
+TEXTS, ROWS = 500, 50_000
 
 # Capital letters become small, breaks a full stop, tabs blanks: as bytes, which leaves all others alone.
 _TABLE = bytearray(range(256)).lower()
@@ -81,8 +81,9 @@ def _chunks(batches, most: int):
     """(shard, lang, bytes) of texts of one shard and language, with a break after each."""
     held: dict[tuple[int, str], list] = {}
     size = 0
-    for batch in batches:
-        shards, langs, texts = (batch.column(i) for i in range(3))
+    slices = (batch.slice(a, TEXTS) for batch in batches for a in range(0, batch.num_rows, TEXTS))
+    for part in slices:
+        shards, langs, texts = (part.column(i) for i in range(3))
         texts = texts.cast(pa.binary())
         for shard, lang, data in zip(shards.to_pylist(), langs.to_pylist(), texts.to_pylist(), strict=True):
             held.setdefault((shard, lang), []).append(data)
@@ -169,7 +170,7 @@ def _summed(batches, level, limits: tuple[int, int, int]):
                     [
                         pa.array(np.full(len(keys), shard, np.int32)),
                         pa.array([lang], pa.string()).take(pa.array(np.zeros(len(keys), np.int32))),
-                        pa.array(keys.view(np.int64)),
+                        pa.array(keys.view(np.int32)),
                         pa.array(counts),
                     ],
                     names=["shard", "lang", "hash", "n"],
@@ -180,7 +181,7 @@ def _summed(batches, level, limits: tuple[int, int, int]):
             words = _Words()
         numbers = _numbers(words, data)
         for hashes in level(words, numbers, lang):
-            held.setdefault((shard, lang), []).append(hashes)
+            held.setdefault((shard, lang), []).append((hashes >> np.uint64(64 - HASH_BITS)).astype(np.uint32))
             size += len(hashes)
         if size >= most_held:
             yield from out()
@@ -191,13 +192,13 @@ def _summed(batches, level, limits: tuple[int, int, int]):
 def _mine(texts: DataFrame, level) -> DataFrame:
     """(shard, lang, hash, n): how often each hash that ``level`` gives occurs in each shard."""
     limits = (BYTES, HELD, WORDS)
-    counted = texts.mapInArrow(lambda batches: _summed(batches, level, limits), "shard int, lang string, hash long, n long")
+    counted = texts.mapInArrow(lambda batches: _summed(batches, level, limits), "shard int, lang string, hash int, n long")
     return counted.groupBy("shard", "lang", "hash").agg(F.sum("n").alias("n"))
 
 
 def _bits_of(counted: DataFrame, needed: DataFrame) -> np.ndarray:
     """The bitmap of hashes that reach their shard's support in any shard."""
-    bit = F.shiftrightunsigned("hash", 64 - BITS)
+    bit = F.shiftrightunsigned("hash", HASH_BITS - BITS)
     frequent = counted.join(needed, ["shard", "lang"]).where(_reaches("n"))
     bits = frequent.select(bit.alias("bit")).groupBy(F.expr(f"bit div {BUCKET}").alias("bucket"))
     found = bits.agg(F.bitmap_construct_agg(F.col("bit") % BUCKET).alias("bits"))
