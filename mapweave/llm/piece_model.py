@@ -18,14 +18,15 @@ from collections.abc import Iterator
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 
 SPACE = "▁"
 # Fixed values of the model format: kinds of pieces.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 # A character between words that no piece holds.
 BORDER = "\0"
-# Distinct words, and pairs of pieces, whose results one encoder remembers.
-REMEMBERED = 400_000
+# Distinct words whose ids one encoder remembers, and places for pairs of pieces it has judged.
+REMEMBERED, PLACES = 600_000, 1 << 20
 # Longer words are not remembered.
 LONG = 64
 
@@ -124,6 +125,39 @@ class PieceModel:
             next((self.index[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in self.index), -1) for t in self.texts
         ]
 
+        # The tree of all pieces: a number for each node and character, the node it leads to, and
+        # the piece that ends there.
+        nodes, ends = {}, [-1]
+        for n, text in enumerate(self.texts):
+            node = 0
+            for c in text:
+                step = node << 21 | ord(c)
+                if step not in nodes:
+                    nodes[step] = len(ends)
+                    ends.append(-1)
+                node = nodes[step]
+            ends[node] = n
+        order = sorted(nodes)
+        self.steps = np.array(order, np.int64)
+        self.nodes = np.array([nodes[s] for s in order], np.int64)
+        self.ends = np.array(ends, np.int32)
+
+    def longest(self, codes: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The longest piece that begins at each of the places, the number behind all pieces where none does.
+
+        ``codes`` are characters, the last of which no piece holds.
+        """
+        found = np.full(len(places), len(self.texts), np.int32)
+        going, node, at = np.arange(len(places)), np.zeros(len(places), np.int64), places
+        while len(going):
+            step = node << 21 | codes[at]
+            i = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            hit = self.steps[i] == step
+            going, node, at = going[hit], self.nodes[i[hit]], at[hit] + 1
+            piece = self.ends[node]
+            found[going[piece >= 0]] = piece[piece >= 0]
+        return found
+
     def may_stand(self, one: int, two: int) -> bool:
         """Whether merging leaves ``one`` and ``two`` side by side."""
         index, texts, left, right = self.index, self.texts, self.left, self.right
@@ -169,96 +203,119 @@ class PieceModel:
 
 
 class PieceEncoder:
-    """Encodes texts word by word; words met often are remembered."""
+    """Encodes texts word by word; words met often are remembered.
+
+    All new words of a batch go through the search side by side, a step of each at a time.
+    """
 
     def __init__(self, model: PieceModel):
         self.model = model
+        # The number of a character that no piece holds; it stands alone beside anything.
         self.unknown = len(model.texts)
-        self.lengths = [len(t) for t in model.texts] + [1]
-        self.shorter = [*model.shorter, -1]
-        self.pairs: dict[int, bool] = {}
-        self.words: dict[str, list[int]] = {}
-        self.runs: dict[int, list[int]] = {}
-        self.most = max(self.lengths)
+        self.lengths = np.array([len(t) for t in model.texts] + [1], np.int32)
+        self.shorter = np.array([*model.shorter, -1], np.int32)
+        self.ids = np.array([*model.ids, -1], np.int32)
+        # Pairs of pieces judged before, each in the place its hash gives.
+        self.judged = np.full(PLACES, -1, np.int64)
+        self.verdicts = np.zeros(PLACES, bool)
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[int, bytes] = {}
         self.automaton = ahocorasick.Automaton()
         for n, text in enumerate(model.texts):
             self.automaton.add_word(text, n)
         self.automaton.make_automaton()
 
-    def _fits(self, one: int, two: int) -> bool:
-        key = one * (self.unknown + 1) + two
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            found = self.unknown in (one, two) or self.model.may_stand(one, two)
-            self.pairs[key] = found
-        return found
-
-    def _longest(self, text: str, at: int) -> int:
-        """The longest piece that begins at a place of ``text``."""
-        index, part = self.model.index, text[at : at + self.most]
-        for size in range(self.automaton.longest_prefix(part), 0, -1):
-            piece = index.get(part[:size])
-            if piece is not None:
-                return piece
-        return self.unknown
-
-    def _split(self, text: str, longest: list[int], start: int, size: int) -> list[int]:
-        """The pieces of the word of ``size`` characters at ``start``; ``longest`` has the longest matches met."""
-        lengths, shorter, pairs, width, fits = self.lengths, self.shorter, self.pairs, self.unknown + 1, self._fits
-        found: list[int] = []
-        # One bit for each position from which the rest has no encoding.
-        failed, at, before, piece = 0, 0, -1, longest[start]
-        while at < size:
-            if piece < 0:
-                piece = self._longest(text, start + at)
+    def _fit(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Whether merging leaves each two pieces side by side."""
+        keys = one.astype(np.int64) * (self.unknown + 1) + two
+        places = (keys * 0x9E3779B1 >> 12) % PLACES
+        known = self.judged[places] == keys
+        fit = self.verdicts[places]
+        if known.all():
+            return fit
+        new, back = np.unique(keys[~known], return_inverse=True)
+        found = np.empty(len(new), bool)
+        for i, key in enumerate(new.tolist()):
+            p, q = divmod(key, self.unknown + 1)
+            found[i] = self.unknown in (p, q) or self.model.may_stand(p, q)
+        fit[~known] = found[back]
+        at = (new * 0x9E3779B1 >> 12) % PLACES
+        # Of two new pairs for one place, one is kept, with its own verdict.
+        self.judged[at] = new
+        kept = self.judged[at] == new
+        self.verdicts[at[kept]] = found[kept]
+        return fit
+
+    def _split(self, joined: str, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """The piece that begins at each place of ``joined``, -1 where none does; words lie from starts to stops."""
+        lengths = self.lengths
+        codes = np.frombuffer((joined + BORDER).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        # Longest matches where the one before ended; those elsewhere are looked up when needed.
+        longest = np.full(len(joined) + 1, -1, np.int32)
+        matches = np.fromiter(chain.from_iterable(self.automaton.iter_long(joined)), np.int64).reshape(-1, 2)
+        longest[matches[:, 0] + 1 - lengths[matches[:, 1]]] = matches[:, 1]
+        longest[starts] = np.where(longest[starts] < 0, self.model.longest(codes, starts), longest[starts])
+        # The piece that ends before each place on the way taken so far, and places with no way on.
+        ended = np.full(len(joined) + 1, -1, np.int32)
+        failed = np.zeros(len(joined) + 1, bool)
+        at, stop, piece = starts.copy(), stops, longest[starts]
+        while len(at):
             end = at + lengths[piece]
-            if not (failed and failed >> end & 1):
-                fit = before < 0 or pairs.get(before * width + piece)
-                if fit is None:
-                    fit = fits(before, piece)
-                if fit:
-                    found.append(piece)
-                    before, at = piece, end
-                    if at < size:
-                        piece = longest[start + at]
-                    continue
-            piece = shorter[piece]
-            if piece < 0:
-                failed |= 1 << at
-                piece = found.pop()
-                at -= lengths[piece]
-                before = found[-1] if found else -1
+            before = ended[at]
+            ok = ~failed[end]
+            judge = np.flatnonzero(ok & (before >= 0))
+            ok[judge] = self._fit(before[judge], piece[judge])
+            ended[end[ok]] = piece[ok]
+            at = np.where(ok, end, at)
+            new = at[ok & (longest[at] < 0)]
+            longest[new] = self.model.longest(codes, new)
+            piece = np.where(ok, longest[at], self.shorter[piece])
+            # Where no shorter piece is left, the piece before is given up: it finds its end failed.
+            stuck = np.flatnonzero(piece < 0)
+            failed[at[stuck]] = True
+            piece[stuck] = ended[at[stuck]]
+            at[stuck] -= lengths[piece[stuck]]
+            going = at < stop
+            at, stop, piece = at[going], stop[going], piece[going]
+        found = np.full(len(joined) + 1, -1, np.int32)
+        at, start = stops.copy(), starts
+        while len(at):
+            piece = ended[at]
+            at = at - lengths[piece]
+            found[at] = piece
+            going = at > start
+            at, start = at[going], start[going]
         return found
 
-    def _encoded(self, words: list[str]) -> Iterator[list[int]]:
-        """Model ids of words, each taken as it stands."""
-        joined, lengths = BORDER.join(words), self.lengths
-        # Longest matches where the one before ended; those elsewhere are looked up when needed.
-        longest = [-1] * len(joined)
-        for end, piece in self.automaton.iter_long(joined):
-            longest[end + 1 - lengths[piece]] = piece
-        ids, byte_ids, start = self.model.ids, self.model.byte_ids, 0
-        for word in words:
-            pieces = self._split(joined, longest, start, len(word))
-            start += len(word) + 1
-            if self.unknown not in pieces:
-                yield [ids[p] for p in pieces]
-                continue
-            out, at = [], 0
-            for p in pieces:
-                if p == self.unknown:
-                    out.extend(byte_ids[b] for b in word[at].encode("utf-8", "surrogatepass"))
-                else:
-                    out.append(ids[p])
-                at += lengths[p]
-            yield out
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Ids of words, each taken as it stands."""
+        if not words:
+            return []
+        joined = BORDER.join(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        stops = np.cumsum(sizes + 1) - 1
+        starts = stops - sizes
+        found = self._split(joined, starts, stops)
+        places = np.flatnonzero(found >= 0)
+        ids = self.ids[found[places]]
+        cuts = np.searchsorted(places, np.append(starts, len(found)))
+        strange = set(np.searchsorted(stops, places[ids < 0]).tolist())
+        raw, bounds = ids.tobytes(), (4 * cuts).tolist()
+        out = [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+        byte_ids = self.model.byte_ids
+        for n in strange:
+            # Characters that no piece holds become their bytes.
+            parts = []
+            for i in range(cuts[n], cuts[n + 1]):
+                spelled = joined[places[i]].encode("utf-8", "surrogatepass") if ids[i] < 0 else b""
+                parts += [byte_ids[b] for b in spelled] or [ids[i]]
+            out[n] = np.array(parts, np.int32).tobytes()
+        return out
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of every text, without an end id."""
-        model, known = self.model, self.words
-        front = SPACE if model.dummy_prefix else ""
+        known = self.words
+        front = SPACE if self.model.dummy_prefix else ""
         cut = [(front + t).replace(" ", SPACE).split(SPACE) if t else [""] for t in texts]
         wanted = set()
         for words in cut:
@@ -272,35 +329,39 @@ class PieceEncoder:
         first = dict(zip(heads, self._encoded(heads), strict=True))
         out = []
         for words in cut:
-            ids = list(first[words[0]]) if words[0] else []
+            head = first[words[0]] if words[0] else b""
             del words[0]
             if "" not in words:
-                ids.extend(chain.from_iterable(map(known.__getitem__, words)))
-                out.append(ids)
-                continue
-            blanks = 0
-            for word in words:
-                if not word:
-                    blanks += 1
-                    continue
-                more = known[word]
-                if blanks:
-                    # A word may leave its own blank alone, behind those in front of it.
-                    alone = more[0] == model.lone
-                    ids += self._run(blanks + alone)
-                    more, blanks = more[alone:], 0
-                ids += more
-            out.append(ids + self._run(blanks))
+                ids = head + b"".join(map(known.__getitem__, words))
+            else:
+                ids = head + b"".join(self._spaced(words))
+            out.append(np.frombuffer(ids, np.int32))
         for word in new:
             if len(word) > LONG:
                 del known[word]
         return out
 
-    def _run(self, length: int) -> list[int]:
+    def _spaced(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words between which there are runs of blanks."""
+        lone, blanks = np.int32(self.model.lone).tobytes(), 0
+        for word in words:
+            if not word:
+                blanks += 1
+                continue
+            ids = self.words[word]
+            if blanks:
+                # A word may leave its own blank alone, behind those in front of it.
+                alone = ids[:4] == lone
+                yield self._run(blanks + alone)
+                ids, blanks = ids[4 * alone :], 0
+            yield ids
+        yield self._run(blanks)
+
+    def _run(self, length: int) -> bytes:
         if length not in self.runs:
             if len(self.runs) > LONG:
                 self.runs.clear()
-            self.runs[length] = self.model.merged_run(length)
+            self.runs[length] = np.array(self.model.merged_run(length), np.int32).tobytes()
         return self.runs[length]
 
 

@@ -71,17 +71,17 @@ def encoded(
 
     def run(batches):
         encoder, decoder = PieceEncoder(shared.value), PieceDecoder(shared.value)
-        end = [] if end_id is None else [end_id]
+        end = np.array([] if end_id is None else [end_id], np.int32)
         for batch in batches:
             column = batch.column(1)
             lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
             for a, b in _parts(lengths):
-                found = [ids + end for ids in encoder.encode(column.slice(a, b - a).to_pylist())]
+                found = [np.append(ids, end) for ids in encoder.encode(column.slice(a, b - a).to_pylist())]
                 offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
-                flat = np.fromiter((i for ids in found for i in ids), np.int32, int(offsets[-1]))
+                flat = np.concatenate(found)
                 out = [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
                 if decode:
-                    out.append(pa.array(list(map(decoder.decode, found)), pa.string()))
+                    out.append(pa.array([decoder.decode(ids.tolist()) for ids in found], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names=["row", "ids", "decoded"][: len(out)])
 
     return rows.mapInArrow(run, common.with_columns(kept, *more))
