@@ -39,8 +39,9 @@ TEXTS = 1024
 # Fixed values of the file format.
 MAGIC = b"HTOK\x01"
 HEADER = struct.Struct("<5sIIIQIIQ")
-# A blank after which no word begins.
+# A blank after which no word begins, and a line break that stands alone between words.
 ODD = re.compile(r" (?=\s|$)")
+BREAK = re.compile(r"\n(?<=\S\n)(?=\S)")
 # Marks that end a word wherever they follow a letter; an apostrophe may go on.
 TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 # Letters below this have been letters in every version of Unicode.
@@ -57,10 +58,11 @@ class WordEncoder:
     """Encodes texts with a tokenizer, each distinct piece of text once.
 
     A byte-level tokenizer that splits words by its pattern starts a new word at every blank
-    before a visible character, whatever stands on either side. Cut there, a text
-    has the ids of its pieces. A piece of letters with marks behind them is cut once more,
-    and its letters, one word for the tokenizer, go to the tokenizer's model alone, which
-    takes a third of the time. Other tokenizers encode whole texts.
+    before a visible character, whatever stands on either side, and takes a line break between
+    two visible characters as a word. Cut there, a text has the ids of its pieces. A piece of
+    letters with marks behind them is cut once more, and its letters, one word for the
+    tokenizer, go to the tokenizer's model alone, which takes a third of the time. Other
+    tokenizers encode whole texts.
     """
 
     def __init__(self, spec: str):
@@ -77,18 +79,17 @@ class WordEncoder:
             and pre.get("use_regex", True)
             and not pre.get("add_prefix_space", True)
             and all(
-                " " not in t["content"] and not t.get("lstrip") and not t.get("rstrip")
+                not re.search(r"\s", t["content"]) and not t.get("lstrip") and not t.get("rstrip")
                 and re.search(r"[^\w\s].*\w", t["content"])
                 for t in told.get("added_tokens", [])
             )
         )
         if self.by_piece:
-            bare = told | {"pre_tokenizer": None, "post_processor": None, "decoder": None, "added_tokens": []}
-            self.words = Tokenizer.from_str(json.dumps(bare))
-            self.words.model._resize_cache(0)
+            self.model = self.tokenizer.model
             self.letters = byte_letters()
+            self.line_break = self._ids(["\n"])[0]
         self.tails: dict[str, bytes] = {}
-        # Ids of pieces after a blank.
+        # Ids of pieces after a blank; those that begin with a line break have no blank.
         self.spaced: dict[str, bytes] = {}
         self.former: dict[str, bytes] = {}
 
@@ -100,13 +101,16 @@ class WordEncoder:
         return self._packed(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
     def _word_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of a blank and a word of letters each."""
-        letters = self.letters
-        blank = letters[32]
-        spelled = [
-            blank + w if w.isascii() else blank + w.encode().decode("latin-1").translate(letters) for w in words
-        ]
-        return self._packed(self.words.encode_batch_fast(spelled, add_special_tokens=False))
+        """Ids of a blank, or a line break, and a word of letters each."""
+        letters, tokenize, code = self.letters, self.model.tokenize, "H" if self.kind == "<u2" else "I"
+        blank, found = letters[32], []
+        for w in words:
+            broken = w[0] == "\n"
+            letters_of = w[1:] if broken else w
+            spelled = letters_of if w.isascii() else letters_of.encode().decode("latin-1").translate(letters)
+            ids = array(code, [t.id for t in tokenize(spelled if broken else blank + spelled)]).tobytes()
+            found.append(self.line_break + ids if broken else ids)
+        return found
 
     def _learn(self, wanted: set[str]) -> None:
         known = self.spaced
@@ -121,8 +125,12 @@ class WordEncoder:
             new = new.difference(met)
         words, tailed, other = set(), [], []
         for p in new:
+            if p.isalpha() and p.isascii():
+                words.add(p)
+                continue
             core = p.rstrip(TAIL)
-            if not core.isalpha() or not (core.isascii() or max(core) < SETTLED):
+            word = core[1:] if core[:1] == "\n" else core
+            if not word.isalpha() or not (word.isascii() or max(word) < SETTLED):
                 other.append(p)
                 continue
             words.add(core)
@@ -136,21 +144,26 @@ class WordEncoder:
         self.tails.update(zip(tails, self._ids(tails), strict=True))
         for p, core, tail in tailed:
             known[p] = known[core] + self.tails[tail]
-        known.update(zip(other, self._ids([" " + p for p in other]), strict=True))
+        known.update(zip(other, self._ids([p if p[:1] == "\n" else " " + p for p in other]), strict=True))
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        """The first piece, then those after each cut without their leading blank."""
-        parts = text.split(" ")
-        if ODD.search(text):
-            joined = parts[:1]
-            for part in parts[1:]:
-                if part and not part[0].isspace():
-                    joined.append(part)
-                else:
-                    joined[-1] += " " + part
-            return joined
-        return parts
+        """The first piece, then those after each cut: with their line break, or without their blank."""
+        if not ODD.search(text):
+            # Behind a blank there is no line break yet, so that these tell the new cuts.
+            return (BREAK.sub(" \n", text) if "\n" in text else text).split(" ")
+        joined: list[str] = []
+        for part in text.split(" "):
+            if joined and not (part and not part[0].isspace()):
+                joined[-1] += " " + part
+            else:
+                joined.append(part)
+        cut = []
+        for part in joined:
+            head, *rest = BREAK.split(part)
+            cut.append(head)
+            cut.extend(["\n" + p for p in rest])
+        return cut
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
@@ -183,17 +196,6 @@ def vocabulary_size(spec: str) -> int:
     return max(ids) + 1
 
 
-# One encoder per Python worker, which serves several tasks.
-_ENCODERS: dict[int, WordEncoder] = {}
-
-
-def _encoder(spec: str) -> WordEncoder:
-    key = zlib.crc32(spec.encode())
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(spec)
-    return _ENCODERS[key]
-
-
 def token_segments(docs: DataFrame, spec: str, doc_id: str, text: str, end_id: int) -> DataFrame:
     """(file, segment, doc_ids, lengths, ids): documents in id order, cut into segments.
 
@@ -209,7 +211,8 @@ def token_segments(docs: DataFrame, spec: str, doc_id: str, text: str, end_id: i
     names = ["file", "segment", "doc_ids", "lengths", "ids"]
 
     def run(batches):
-        encoder = _encoder(shared.value)
+        # What a task remembers goes with the task: workers are used again by other stages.
+        encoder = WordEncoder(shared.value)
         end = np.array([end_id], dtype=encoder.kind).tobytes()
         segment, held, file, size = 0, [], 0, 0
 
