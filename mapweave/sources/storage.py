@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
@@ -18,7 +18,7 @@ def list_directory(spark: SparkSession, path: str) -> list[str]:
 
     Names starting with "_" or "." are markers, not data.
     """
-    fs, target = _hadoop_path(spark, path)
+    fs, target = hadoop_path(spark, path)
     entries = [status.getPath() for status in fs.listStatus(target)]
     visible = [e for e in entries if not e.getName().startswith(("_", "."))]
     return [e.toString() for e in sorted(visible, key=lambda e: e.getName())]
@@ -45,10 +45,10 @@ class Staging:
         self._spark = spark
         self.path = f"{root}/mapweave-{uuid4().hex}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         """Write ``df`` as a table and return the written table."""
         path = f"{self.path}/{name}"
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=partition_by)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def cut(self, df: DataFrame) -> DataFrame:
@@ -60,5 +60,5 @@ class Staging:
 
     def remove(self) -> None:
         """Delete this run's staged tables; nothing read from them works afterwards."""
-        fs, target = _hadoop_path(self._spark, self.path)
+        fs, target = hadoop_path(self._spark, self.path)
         fs.delete(target, True)
