@@ -9,10 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from mapweave.functions.casts import comparable, compared_as_text
 from mapweave.functions.expressions import field
-from mapweave.operators.filters import Filtered, Stage
+from mapweave.operators.filters import Stage
+from mapweave.operators.sift import can_sift, may_match
 from mapweave.operators.skew import balanced_join, temp_name, will_broadcast
 
 
@@ -38,10 +40,21 @@ def _prepared(
     return records.withColumns(as_text) if as_text else records, entries.select(*entry_columns), keys
 
 
-def _join_list(records: DataFrame, entries: DataFrame, how: str) -> DataFrame:
+def _shared(records: DataFrame, entries: DataFrame) -> list[str]:
     shared = [c for c in entries.columns if c in records.columns]
     if not shared:
         raise ValueError(f"list with columns {entries.columns} shares no column with the records")
+    return shared
+
+
+def _check_block(records: DataFrame, entries: DataFrame) -> None:
+    missing = [c for c in entries.columns if c not in records.columns]
+    if missing or not entries.columns:
+        raise ValueError(f"block list columns {entries.columns}: records lack {missing or 'them all'}")
+
+
+def _join_list(records: DataFrame, entries: DataFrame, how: str) -> DataFrame:
+    shared = _shared(records, entries)
     left, right, keys = _prepared(records, entries, shared)
     joined = balanced_join(left, right, keys, how)
     added = [c for c in entries.columns if c not in shared]
@@ -63,41 +76,93 @@ def restrict(records: DataFrame, entries: DataFrame) -> DataFrame:
 
 def block(records: DataFrame, entries: DataFrame) -> DataFrame:
     """Drop records equal to any entry on all list columns; null equals null."""
-    missing = [c for c in entries.columns if c not in records.columns]
-    if missing or not entries.columns:
-        raise ValueError(f"block list columns {entries.columns}: records lack {missing or 'them all'}")
+    _check_block(records, entries)
     left, right, keys = _prepared(records, entries.distinct(), entries.columns)
     kept = balanced_join(left, right, keys, "left_anti", null_safe=True)
     return kept.select(*[field(c) for c in records.columns])
 
 
+def _matched(
+    records: DataFrame, entries: DataFrame, alive: str, match: str, null_safe: bool = False, unique: bool = False, sift: bool = False
+) -> DataFrame:
+    """Left join of the rows alive, with ``match`` true where an entry was found.
+
+    The other rows meet no entry and stay as they are, once each. With ``sift`` rows that have no match
+    for certain pass by the join too; ``records`` is then read twice and should be staged.
+    """
+    shared = _shared(records, entries)
+    left, right, keys = _prepared(records, entries, shared)
+    living, maybe = temp_name("living"), temp_name("maybe")
+    marked = right.withColumns({living: F.lit(True), match: F.lit(True)})
+    added = [c for c in entries.columns if c not in shared]
+    columns = [field(c) for c in records.columns + added + [match]]
+    if not sift or not can_sift(left, right, keys):
+        return balanced_join(left, marked, [*keys, (alive, living)], "left", null_safe, unique).select(*columns)
+    told = may_match(left, right, keys, maybe, null_safe)
+    going = F.col(alive) & F.col(maybe)
+    joined = balanced_join(told.where(going).drop(maybe), marked, keys, "left", null_safe, unique).select(*columns)
+    rest = told.where(~going).select(*[field(c) for c in records.columns])
+    return joined.unionByName(rest, allowMissingColumns=True)
+
+
+def mark_enriched(records: DataFrame, entries: DataFrame, alive: str, sift: bool = False) -> DataFrame:
+    """``enrich`` for the rows alive."""
+    match = temp_name("match")
+    return _matched(records, entries, alive, match, sift=sift).drop(match)
+
+
+def mark_restricted(records: DataFrame, entries: DataFrame, alive: str, sift: bool = False) -> DataFrame:
+    """``restrict`` that keeps unlisted rows, no longer alive."""
+    match = temp_name("match")
+    joined = _matched(records, entries, alive, match, sift=sift)
+    return joined.withColumn(alive, F.col(alive) & F.col(match).isNotNull()).drop(match)
+
+
+def mark_blocked(records: DataFrame, entries: DataFrame, alive: str, sift: bool = False) -> DataFrame:
+    """``block`` that keeps the blocked rows, no longer alive."""
+    _check_block(records, entries)
+    match = temp_name("match")
+    joined = _matched(records, entries.distinct(), alive, match, null_safe=True, unique=True, sift=sift)
+    return joined.withColumn(alive, F.col(alive) & F.col(match).isNull()).drop(match)
+
+
 # Writes a DataFrame to shared storage and reads it back, to cut its lineage.
 Cut = Callable[[DataFrame], DataFrame]
 
 
-def _stage(operator, lists: Iterable[DataFrame], cut: Cut | None) -> Stage:
+def _stage(operator, marking, lists: Iterable[DataFrame], cut: Cut | None, rejects: bool = True) -> Stage:
     lists = list(lists)
 
-    def stage(records: DataFrame) -> Filtered:
+    def placed(records: DataFrame, entries: DataFrame) -> DataFrame:
+        # A list too large to broadcast has the records read twice, once to
+        # count their keys. From a written table that reads the keys alone.
+        return cut(records) if cut is not None and not will_broadcast(entries) else records
+
+    def keep(records: DataFrame) -> DataFrame | None:
+        if rejects and not all(map(will_broadcast, lists)):
+            # Kept and rejected rows share the work on a large list.
+            return None
+        for entries in lists:
+            records = operator(placed(records, entries), entries)
+        return records
+
+    def mark(records: DataFrame, alive: str) -> DataFrame:
         for entries in lists:
-            # A list too large to broadcast has the records read twice, once to
-            # count their keys. From a written table that reads the keys alone.
-            if cut is not None and not will_broadcast(entries):
-                records = cut(records)
-            records = operator(records, entries)
-        return Filtered(records, None)
+            sift = cut is not None and not will_broadcast(entries)
+            records = marking(placed(records, entries), entries, alive, sift)
+        return records
 
-    return stage
+    return Stage(mark, keep, rejects)
 
 
 def enrich_all(lists: Iterable[DataFrame], cut: Cut | None = None) -> Stage:
     """Enrich by one list after another; later lists may use columns of earlier ones."""
-    return _stage(enrich, lists, cut)
+    return _stage(enrich, mark_enriched, lists, cut, rejects=False)
 
 
 def restrict_all(lists: Iterable[DataFrame], cut: Cut | None = None) -> Stage:
-    return _stage(restrict, lists, cut)
+    return _stage(restrict, mark_restricted, lists, cut)
 
 
 def block_all(lists: Iterable[DataFrame], cut: Cut | None = None) -> Stage:
-    return _stage(block, lists, cut)
+    return _stage(block, mark_blocked, lists, cut)

@@ -1,5 +1,8 @@
+from pyspark.sql import functions as F
+
 from conftest import rows
-from mapweave.operators import filters
+from mapweave.operators import filters, lists
+from mapweave.sources.storage import Staging
 
 RECORDS = "id int, instrument string, instance int"
 
@@ -10,7 +13,7 @@ def test_primary_records(spark):
     )
     kept, rejected = filters.primary_records("instrument", "instance")(df)
     assert [r["id"] for r in kept.collect()] == [1]
-    assert rejected is None
+    assert [r["id"] for r in rejected.orderBy("id").collect()] == [2, 3, 4]
 
 
 def test_trim_only_spaces_of_existing_columns(spark):
@@ -59,3 +62,79 @@ def test_stages_run_in_order_and_keep_rejects_by_name(spark):
     assert list(rejects) == ["first", "second"]
     assert rows(rejects["first"]) == [(8,), (9,)]
     assert rows(rejects["second"]) == [(3,), (4,), (5,), (6,), (7,)]
+
+
+def chain(spark):
+    listed = spark.createDataFrame([("a", "p"), ("a", "q"), ("b", "r"), (None, "s")], "seg string, x string")
+    blocked = spark.createDataFrame([("a", None), ("a", None), ("b", "7")], "seg string, n string")
+    known = spark.createDataFrame([("a",), ("b",), ("b",)], "seg string")
+    return [
+        ("primary", filters.primary_records("instrument", "instance")),
+        ("enrich", lists.enrich_all([listed])),
+        ("restrict", lists.restrict_all([known])),
+        ("same", filters.keep_all),
+        ("block", lists.block_all([blocked])),
+    ]
+
+
+def test_marked_stages_give_what_plain_ones_give(spark):
+    data = [
+        (i, seg, n, instrument, None)
+        for i, (seg, n, instrument) in enumerate(
+            [("a", 7, ""), ("a", None, ""), ("b", 7, ""), ("b", None, ""), (None, 7, ""), ("c", 1, ""), ("a", 7, "x"), ("b", 7, None)]
+        )
+    ]
+    df = spark.createDataFrame(data, "id int, seg string, n int, instrument string, instance int")
+    df = df.union(df.where("id IN (1, 4)"))
+    plain, plain_rejects = filters.run_stages(df, chain(spark))
+    staging, tables, counts = Staging(spark), [], {}
+
+    def cut(marked, by):
+        tables.append(by)
+        return staging.table(marked, "marked", by)
+
+    kept, rejects = filters.run_stages(df, chain(spark), cut, counts)
+    assert len(tables) == 1 and kept.columns == plain.columns and rows(kept) == rows(plain)
+    assert list(rejects) == list(plain_rejects) == ["primary", "restrict", "block"]
+    for name, rejected in rejects.items():
+        assert rejected.columns == plain_rejects[name].columns
+        assert rows(rejected) == rows(plain_rejects[name]) and rejected.count()
+    # Every record is kept or rejected once by primary; those behind it are multiplied by the lists.
+    assert rejects["primary"].count() == 2
+    found = {name: count.get["rows"] for name, count in counts.items()}
+    assert found["primary"] == 8 and found["block"] == kept.count()
+    assert found["restrict"] - found["block"] == rejects["block"].count()
+
+
+def test_marked_stages_do_not_depend_on_the_join(spark, small_limits, monkeypatch):
+    from mapweave.operators import skew
+
+    monkeypatch.setattr(skew, "ROWS_PER_SLICE", 1)
+    monkeypatch.setattr(lists, "will_broadcast", lambda df: False)
+    test_marked_stages_give_what_plain_ones_give(spark)
+
+
+def test_marked_stages_sift_rows_before_a_large_list(spark, small_limits, monkeypatch):
+    staging = Staging(spark)
+    monkeypatch.setattr(lists, "will_broadcast", lambda df: False)
+    df = spark.range(2000).selectExpr("id", "concat('k', id) AS k", "if(id % 9 = 0, null, id % 40) AS n", "'x' AS same")
+    listed = spark.createDataFrame([("k3", "a"), ("k3", "b"), ("k1999", "c"), ("none", "d"), (None, "e")], "k string, v string")
+    blocked = spark.createDataFrame([("7", "x"), (None, "x"), ("8", "y")], "n string, same string")
+    for stage, plain in ((lists.enrich_all, lists.enrich), (lists.restrict_all, lists.restrict), (lists.block_all, lists.block)):
+        entries = blocked if plain is lists.block else listed
+        marked = stage([entries], staging.cut).mark(staging.cut(df.withColumn("alive", F.col("id") < 1990)), "alive")
+        kept = marked.where("alive").drop("alive")
+        assert rows(kept) == rows(plain(df.where("id < 1990"), entries))
+        assert marked.select("id").distinct().count() == 2000
+        assert "BitmapConstructAgg" in marked._jdf.queryExecution().analyzed().toString() or "bitmap_construct_agg" in marked._jdf.queryExecution().analyzed().toString()
+
+
+def test_most_rows_pass_by_the_join(spark):
+    from mapweave.operators.sift import can_sift, may_match
+
+    df = spark.range(20_000).selectExpr("id", "cast(id AS string) AS k", "cast(id AS double) AS d")
+    few = spark.range(0, 20_000, 100).selectExpr("cast(id AS string) AS lk", "id AS li")
+    told = may_match(df, few, [("k", "lk")], "maybe").where("maybe")
+    assert 200 <= told.count() < 300
+    assert told.where("id % 100 = 0").count() == 200
+    assert can_sift(df, few, [("k", "lk"), ("id", "li")]) and not can_sift(df, few, [("d", "li")])
