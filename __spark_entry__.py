@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from mapweave.functions import expressions as ex
 from mapweave.operators import dictionary, filters, keys, lists, reports, reshape
+from mapweave.operators.key_registry import KeyRegistry
 from mapweave.plans import rules as rule_plans
 from mapweave.plans.job import Inputs, MappedRecords, cast_records
 from mapweave.plans.rules import Rule, node, project_rules
-from mapweave.sources.readers import read_json_strings, read_lists
+from mapweave.sources.readers import read_csv, read_json_strings, read_lists
 from mapweave.sources.storage import Staging
 from mapweave.sources.writers import write_csv, write_report, write_tables
 
@@ -668,18 +669,18 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _table(spark, sf_dir, "part").selectExpr(
         "p_partkey",
         "CASE p_type WHEN 'PROMO' THEN '' WHEN 'SMALL' THEN NULL"
-        " WHEN 'LARGE' THEN concat('say \"', p_name, '\", twice') ELSE p_name END AS label",
+        " WHEN 'LARGE' THEN concat('say \"', p_name, '\", twice\\n', p_size) ELSE p_name END AS label",
         "concat(p_brand, ',', p_size) AS brand",
     )
     path = Staging(spark).folder("parts_csv")
     write_csv(table, path)
-    return spark.read.csv(path, header=True, escape='"', mode="FAILFAST")
+    return read_csv(spark, path, split_bytes=0)
 
 
 CSV_ROUNDTRIP = """
 SELECT cast(p_partkey AS varchar) AS p_partkey,
        CASE WHEN p_type IN ('PROMO', 'SMALL') THEN NULL
-         WHEN p_type = 'LARGE' THEN concat('say "', p_name, '", twice') ELSE p_name END AS label,
+         WHEN p_type = 'LARGE' THEN concat('say "', p_name, '", twice' || chr(10), p_size) ELSE p_name END AS label,
        concat(p_brand, ',', p_size) AS brand
 FROM part
 """
@@ -740,21 +741,32 @@ def nested_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chain_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _table(spark, sf_dir, "part").selectExpr(
+    parts = _table(spark, sf_dir, "part")
+    records = parts.selectExpr(
         "p_partkey", "CASE p_type WHEN 'PROMO' THEN 'visit' ELSE '' END AS instrument",
         "CASE WHEN p_size > 40 THEN 2 END AS instance",
-        "CASE WHEN p_size < 10 THEN p_brand ELSE p_name END AS title", "p_name AS first", "p_name AS last",
+        "CASE WHEN p_size < 10 THEN p_brand ELSE p_name END AS title",
+        "CASE WHEN p_size % 3 = 0 THEN upper(split_part(p_name, ' ', 1)) ELSE p_name END AS first",
+        "CASE WHEN p_size % 3 = 0 THEN upper(split_part(p_name, ' ', 2)) ELSE p_name END AS last",
+        "p_brand AS brand", "nullif(p_type, 'LARGE') AS kind",
     )
+    labelled = parts.selectExpr("p_brand AS brand", "left(p_brand, 7) AS family").distinct()
+    listed = parts.selectExpr("p_brand AS brand").where("brand NOT LIKE '%3'").distinct()
+    blocked = parts.where("p_type IN ('SMALL', 'LARGE')").selectExpr("p_brand AS brand", "nullif(p_type, 'LARGE') AS kind")
+    staging = Staging(spark)
     stages = [
         ("primary", filters.primary_records("instrument", "instance")),
         ("all", filters.keep_all),
+        ("enrich", lists.enrich_all([labelled])),
+        ("restrict", lists.restrict_all([listed])),
+        ("block", lists.block_all([blocked.where("brand <> 'Brand#7'")])),
         ("test", filters.split_test_records("title", "first", "last")),
     ]
-    kept, rejects = filters.run_stages(records, stages)
+    kept, rejects = filters.run_stages(records, stages, lambda df, by: staging.table(df, "marked", by))
     found = kept.withColumn("stage", F.lit("kept"))
     for name, rows in rejects.items():
-        found = found.unionByName(rows.withColumn("stage", F.lit(name)))
-    return found.select("p_partkey", "title", "stage")
+        found = found.unionByName(rows.withColumn("stage", F.lit(name)), allowMissingColumns=True)
+    return found.select("p_partkey", "title", "family", "stage")
 
 
 def rules_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -770,22 +782,25 @@ def lists_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = _table(spark, sf_dir, "orders").selectExpr("o_orderkey", "cast(o_custkey AS int) AS custkey")
     path = Staging(spark).folder("lists")
     customer = _table(spark, sf_dir, "customer").selectExpr(
-        "CASE WHEN c_acctbal > 0 THEN c_custkey END AS custkey", "cast(c_nationkey AS string) AS nk"
-    )
+        "CASE WHEN c_acctbal > 0 THEN c_custkey END AS custkey", "cast(c_nationkey AS string) AS nk",
+        "concat(c_mktsegment, ', \"', c_custkey, '\"\n', c_nationkey, ',\\\\') AS note",
+    )
     write_csv(customer, f"{path}/1_customer")
     write_csv(_table(spark, sf_dir, "nation").selectExpr("n_nationkey AS nk", "n_name AS nation"), f"{path}/2_nation")
     return lists.enrich_all(read_lists(spark, path))(records).kept
 
 
 def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "nation").selectExpr(
-        "struct(n_nationkey, nullif(n_name, 'FRANCE') AS name, n_regionkey > 2 AS far) AS r", "n_regionkey"
+    rows = _table(spark, sf_dir, "orders").selectExpr(
+        "struct(o_orderkey, nullif(o_orderstatus, 'P') AS status, concat('\"', o_orderpriority, '},{\\\\') AS note,"
+        " struct(o_custkey AS c, array(o_orderkey % 7) AS d) AS customer, o_totalprice > 250000 AS big) AS r",
+        "o_orderkey div 20000 AS part",
     )
-    arrays = rows.groupBy("n_regionkey").agg(F.to_json(F.collect_list("r")).alias("value")).select("value")
+    arrays = rows.groupBy("part").agg(F.to_json(F.collect_list("r")).alias("value"))
     path = Staging(spark).folder("records_array")
-    # One array document per file.
-    arrays.repartitionByRange(64, "value").write.option("maxRecordsPerFile", 1).text(path)
-    return read_json_strings(spark, path)
+    # One array document per file, each of at most 20,000 records.
+    arrays.repartition("part").select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return read_json_strings(spark, path, split_bytes=0)
 
 
 def tables_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -813,6 +828,28 @@ def shared_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MappedRecords(_job_inputs(spark, sf_dir), Staging(spark)).mapped_tables["market"]
 
 
+def registered_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderdate", "o_custkey AS part0", "o_orderstatus AS part1")
+    staging = Staging(spark)
+    registry = KeyRegistry(spark, staging.folder("ids"))
+    parts = ("o_custkey", "o_orderstatus")
+    first = staging.cut(orders.where("o_orderdate < '1995-06-17'").select("part0", "part1").distinct())
+    registry.numbered(parts, first)
+    # A later run over more orders: the keys met before keep their ids.
+    later = staging.cut(orders.select("part0", "part1").distinct())
+    ids = registry.numbered(parts, later)
+    return keys.attach_keys(orders, [orders.part0, orders.part1], ids, ["gid"]).selectExpr("o_orderkey", "part0 AS custkey", "gid")
+
+
+REGISTERED_IDS = """
+WITH k AS (SELECT DISTINCT o_custkey AS a, o_orderstatus AS b, md5(concat_ws(chr(31), o_custkey, o_orderstatus)) AS h FROM orders),
+f AS (SELECT DISTINCT o_custkey AS a, o_orderstatus AS b FROM orders WHERE o_orderdate < '1995-06-17'),
+i AS (SELECT k.*, row_number() OVER (ORDER BY (f.a IS NULL), h, k.a, k.b) - 1 AS gid
+  FROM k LEFT JOIN f ON f.a = k.a AND f.b = k.b)
+SELECT o_orderkey, o_custkey AS custkey, gid FROM orders JOIN i ON a = o_custkey AND b = o_orderstatus
+"""
+
+
 _JOB = """
 WITH rec AS (SELECT cast(o_orderkey AS int) AS rid, cast(c_nationkey AS varchar) AS nk,
     nullif(c_mktsegment, 'MACHINERY') AS seg, o_orderstatus AS status, o_totalprice, o_orderdate,
@@ -843,23 +880,31 @@ m AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(chr(31), p0, p1)), p0,
 SELECT rid, nested_id FROM n LEFT JOIN m USING (p0, p1)
 """
 CHAIN_REJECTS = """
-SELECT p_partkey, CASE WHEN p_size < 10 THEN p_brand ELSE p_name END AS title, 'test' AS stage
-FROM part WHERE p_type <> 'PROMO' AND p_size <= 40
+WITH staged AS (
+  SELECT *, CASE WHEN p_type = 'PROMO' OR p_size > 40 THEN 'primary' WHEN p_brand LIKE '%3' THEN 'restrict'
+    WHEN p_type IN ('SMALL', 'LARGE') AND p_brand <> 'Brand#7' THEN 'block'
+    WHEN p_size < 10 OR p_size % 3 <> 0 THEN 'test' ELSE 'kept' END AS stage FROM part)
+SELECT p_partkey, CASE WHEN p_size < 10 THEN p_brand ELSE p_name END AS title,
+       CASE WHEN stage <> 'primary' THEN left(p_brand, 7) END AS family, stage
+FROM staged
 """
 RULES_SELECTED = """
 SELECT p_size AS ordinal, p_brand AS "table", p_name AS "column", 'field' AS kind, p_type AS arg, 'text' AS type,
        'yes' AS "primary"
 FROM part WHERE p_size % 2 = 0
 """
-LISTS_FROM_FILES = """
-SELECT o_orderkey, cast(o_custkey AS int) AS custkey, cast(c_nationkey AS varchar) AS nk, n_name AS nation
+LISTS_FROM_FILES = r"""
+SELECT o_orderkey, cast(o_custkey AS int) AS custkey, cast(c_nationkey AS varchar) AS nk,
+       c_mktsegment || ', "' || c_custkey || '"' || chr(10) || c_nationkey || ',\' AS note, n_name AS nation
 FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0
 LEFT JOIN nation ON n_nationkey = c_nationkey
 """
-JSON_ARRAY = """
-SELECT cast(n_nationkey AS varchar) AS n_nationkey, nullif(n_name, 'FRANCE') AS name,
-       CASE WHEN n_regionkey > 2 THEN 'true' ELSE 'false' END AS far
-FROM nation
+JSON_ARRAY = r"""
+SELECT cast(o_orderkey AS varchar) AS o_orderkey, nullif(o_orderstatus, 'P') AS status,
+       concat('"', o_orderpriority, '},{\') AS note,
+       concat('{"c":', o_custkey, ',"d":[', o_orderkey % 7, ']}') AS customer,
+       CASE WHEN o_totalprice > 250000 THEN 'true' ELSE 'false' END AS big
+FROM orders
 """
 TABLES_ROUNDTRIP = """
 SELECT cast(p_partkey AS varchar) AS key, p_brand AS label, 'part' AS "table" FROM part
@@ -912,6 +957,7 @@ _QUERIES: dict[str, tuple[Query, str]] = {
     "tables_roundtrip": (tables_roundtrip, TABLES_ROUNDTRIP),
     "report_roundtrip": (report_roundtrip, REPORT_ROUNDTRIP),
     "counted_rows": (counted_rows, COUNTED_ROWS),
+    "registered_ids": (registered_ids, REGISTERED_IDS),
 }
 
 

@@ -11,10 +11,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,10 +23,13 @@ from mapweave.functions import expressions as ex
 from mapweave.functions.casts import cast_declared
 from mapweave.operators import dictionary as dic
 from mapweave.operators import filters, keys, lists, reports, reshape
+from mapweave.operators.key_registry import KeyRegistry
 from mapweave.plans import rules as rule_plans
+from mapweave.plans.expression_columns import with_sources
 from mapweave.plans.rules import Rule
 from mapweave.sources import readers, writers
 from mapweave.sources.local import local_frame
+from mapweave.sources.publish import publication
 from mapweave.sources.storage import Staging
 
 log = logging.getLogger(__name__)
@@ -66,6 +69,8 @@ class Inputs:
     # Off by default; the records need the title and name columns for it.
     drop_test_records: bool = False
     columns: FixedColumns = field(default_factory=FixedColumns)
+    # Where tables are staged: write what each stage rejects next to the records, and count rows.
+    keep_rejects: bool = True
 
 
 def cast_records(
@@ -82,9 +87,12 @@ def cast_records(
 
 
 def filter_records(
-    inputs: Inputs, staging: Staging | None = None
+    inputs: Inputs, staging: Staging | None = None, counts: dict[str, Observation] | None = None
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Typed and trimmed records through the filter chain, and rejects by stage."""
+    """Typed and trimmed records through the filter chain, and rejects by stage.
+
+    With staging the stages run once: kept and rejected records are parts of one written table.
+    """
     cut = staging.cut if staging else None
     names = inputs.columns
     typed = cast_records(inputs.records, inputs.rules, names.built_in_types)
@@ -98,11 +106,23 @@ def filter_records(
         test_records = filters.split_test_records(names.title, names.first_name, names.last_name)
         stages.append(("test", test_records))
     trimmed = filters.trim_columns(typed, names.trimmed)
-    return filters.run_stages(trimmed, stages)
+    if staging is None:
+        return filters.run_stages(trimmed, stages)
+    if not inputs.keep_rejects:
+        records, _ = filters.run_stages(trimmed, stages)
+        return staging.table(records, "records"), {}
+    return filters.run_stages(trimmed, stages, lambda df, by: staging.table(df, "records", by), counts)
+
 
+def add_ids(
+    records: DataFrame, rules: list[Rule], staging: Staging | None = None, registry: KeyRegistry | None = None
+) -> DataFrame:
+    """Attach the generated id columns; rules with the same parts share one key table.
 
-def add_ids(records: DataFrame, rules: list[Rule], staging: Staging | None = None) -> DataFrame:
-    """Attach the generated id columns; rules with the same parts share one key table."""
+    With a registry, which needs staging, keys of earlier runs keep their ids.
+    """
+    if registry is not None and staging is None:
+        raise ValueError("a key registry needs a place to stage tables")
     columns_by_parts: dict[tuple[str, ...], list[str]] = {}
     for column, parts in rule_plans.id_rules(rules).items():
         columns_by_parts.setdefault(parts, []).append(column)
@@ -115,7 +135,10 @@ def add_ids(records: DataFrame, rules: list[Rule], staging: Staging | None = Non
             records = keys.attach_keys(records, values, numbered, columns)
             continue
         tuples = staging.table(tuples.distinct(), f"keys_{i}")
-        numbered = keys.number_keys(tuples, "id", keys.digits_for(tuples.count()))
+        if registry is None:
+            numbered = keys.number_keys(tuples, "id", keys.digits_for(tuples.count()))
+        else:
+            numbered = registry.numbered(parts, tuples)
         numbered = staging.table(numbered, f"ids_{i}")
         # Every later id and target table reads these, not the joins so far.
         records = staging.table(keys.attach_keys(records, values, numbered, columns), f"with_ids_{i}")
@@ -167,23 +190,30 @@ def column_reports(
 class MappedRecords:
     """Every output of the job, each built when it is first asked for."""
 
-    def __init__(self, inputs: Inputs, staging: Staging | None = None):
+    def __init__(self, inputs: Inputs, staging: Staging | None = None, registry: KeyRegistry | None = None):
         added = [c for df in inputs.enrich + inputs.restrict for c in df.columns]
-        rule_plans.check_rules(
-            inputs.rules, list(dict.fromkeys(inputs.records.columns + added))
-        )
+        columns = list(dict.fromkeys(inputs.records.columns + added))
         self._spark = inputs.records.sparkSession
+        generated = list(rule_plans.id_rules(inputs.rules))
+        inputs = replace(inputs, rules=with_sources(self._spark, inputs.rules, columns + generated))
+        rule_plans.check_rules(inputs.rules, columns)
         self._inputs = inputs
         self._staging = staging
+        self._registry = registry
         for rule in inputs.rules:
             if rule.table is None or not rule.sources:
                 log.warning("rule for %s.%s (%s) reaches no table", rule.table, rule.column, rule.kind)
-        records, self.rejects = filter_records(inputs, staging)
-        self.records = staging.table(records, "records") if staging else records
+        self._counts: dict[str, Observation] = {}
+        self.records, self.rejects = filter_records(inputs, staging, self._counts)
+
+    @property
+    def stage_rows(self) -> dict[str, int]:
+        """The rows that each filter stage leaves, counted as they were staged with their rejects."""
+        return {name: count.get["rows"] for name, count in self._counts.items()}
 
     @cached_property
     def records_with_ids(self) -> DataFrame:
-        return add_ids(self.records, self._inputs.rules, self._staging)
+        return add_ids(self.records, self._inputs.rules, self._staging, self._registry)
 
     @cached_property
     def mapped_tables(self) -> dict[str, DataFrame]:
@@ -225,11 +255,18 @@ class MappedRecords:
 
 
 def write_outputs(
-    mapped: MappedRecords, directory: str, count_rows: bool = False
+    mapped: MappedRecords, directory: str, count_rows: bool = False, rejects: bool = False
 ) -> dict[str, int]:
-    """Write tables and reports; with ``count_rows`` also return the rows of each table."""
+    """Write tables and reports; with ``count_rows`` also return the rows of each table.
+
+    ``rejects`` also writes what each stage rejected, under ``rejects/<stage>``.
+    """
     writers.write_report(mapped.unknown, f"{directory}/unknown")
     writers.write_report(mapped.missing, f"{directory}/missing")
+    for name, df in mapped.rejects.items() if rejects else ():
+        writers.write_csv(df, f"{directory}/rejects/{name}")
+    for name, rows in mapped.stage_rows.items() if count_rows else ():
+        log.info("stage %s leaves %d rows", name, rows)
     if not count_rows:
         writers.write_tables(mapped.tables(), directory)
         return {}
@@ -256,31 +293,43 @@ class JobFiles:
     record_columns: list[str] | None = None
     drop_test_records: bool = False
     columns: FixedColumns = field(default_factory=FixedColumns)
+    # Folder of the ids given so far; none numbers the keys of each run anew.
+    key_registry: str = ""
+    # Write the rejected records of each stage too.
+    rejects: bool = False
 
 
-def read_inputs(spark: SparkSession, files: JobFiles) -> Inputs:
+def read_inputs(spark: SparkSession, files: JobFiles, staging: Staging | None = None) -> Inputs:
     def lists_in(directory: str) -> list[DataFrame]:
-        return readers.read_lists(spark, directory) if directory else []
+        return readers.read_lists(spark, directory, staging) if directory else []
 
     return Inputs(
         records=readers.read_json_strings(
-            spark, files.records, files.record_columns, lines=files.json_lines
+            spark, files.records, files.record_columns, lines=files.json_lines, staging=staging
         ),
         rules=rule_plans.read_rules(spark, files.rules),
         enrich=lists_in(files.enrich),
         restrict=lists_in(files.restrict),
         block=lists_in(files.block),
-        dictionary=readers.read_json_strings(spark, files.dictionary),
+        dictionary=readers.read_json_strings(spark, files.dictionary, staging=staging),
         drop_test_records=files.drop_test_records,
         columns=files.columns,
     )
 
 
 def run_job(spark: SparkSession, files: JobFiles, count_rows: bool = False) -> dict[str, int]:
-    """Read, map and write; staged tables are removed in the end."""
-    inputs = read_inputs(spark, files)
+    """Read, map and write; staged tables are removed in the end.
+
+    The outputs lie in the folder that ``published`` names for ``files.output``. They count all
+    together, once all are written: a run that breaks leaves those of the run before.
+    """
     staging = Staging(spark)
+    registry = KeyRegistry(spark, files.key_registry) if files.key_registry else None
     try:
-        return write_outputs(MappedRecords(inputs, staging), files.output, count_rows)
+        with publication(spark, files.output) as folder:
+            inputs = read_inputs(spark, files, staging)
+            inputs.keep_rejects = files.rejects or count_rows
+            mapped = MappedRecords(inputs, staging, registry)
+            return write_outputs(mapped, folder, count_rows, files.rejects)
     finally:
         staging.remove()

@@ -16,7 +16,7 @@ if_equal              a, b, then, else
 first_name            an operand holding a person name
 last_name             an operand holding a person name
 generate_id           one or more operands; the target column holds the id
-expr                  one Spark SQL expression; state its columns in sources
+expr                  one Spark SQL expression; the job finds its columns
 none                  nothing; the target column is known to be unavailable
 ====================  =====================================================
 
@@ -70,7 +70,8 @@ class Rule:
     args: tuple[str, ...] = ()
     type: str | None = "text"
     primary: bool = False
-    # Columns an expr reads; worked out from args for every other kind.
+    # Columns an expr reads, found by ``with_sources`` where not stated; worked out from args for
+    # every other kind.
     reads: tuple[str, ...] = ()
 
     @property
@@ -174,7 +175,7 @@ def read_rules(spark: SparkSession, path: str) -> list[Rule]:
     """Read rule rows from a JSON array, in ordinal order.
 
     Only rows with ``initialize`` set to yes are used. ``primary`` is yes or true
-    for key columns, and ``sources`` is needed for the kind expr alone.
+    for key columns. ``sources`` states the columns of an expr that are not to be found in it.
     """
     schema = (
         "initialize string, ordinal int, table string, column string, kind string, "

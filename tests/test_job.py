@@ -1,7 +1,9 @@
 """A small project run from files to files, with outputs worked out by hand."""
 
 import csv
+import dataclasses
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from mapweave.plans.job import FixedColumns, JobFiles, MappedRecords, read_inputs, run_job
 from mapweave.plans.rules import read_rules
+from mapweave.sources import writers
+from mapweave.sources.publish import published
+from mapweave.sources.storage import Staging
 
 
 def record(rid, **values):
@@ -129,9 +134,11 @@ def read_back(directory):
 
 
 def test_job_from_files_to_files(spark, files, tmp_path):
+    files = dataclasses.replace(files, rejects=True)
     counts = run_job(spark, files, count_rows=True)
     assert counts == {"proposal": 5, "applicant": 3, "area": 5, "reviewer_organization": 2, "name": 7}
-    tables = tmp_path / "out" / "tables"
+    out = Path(published(spark, files.output))
+    tables = out / "tables"
 
     header, applicants = read_back(tables / "applicant")
     assert header == ["applicant", "first", "last", "kind"]
@@ -181,7 +188,7 @@ def test_job_from_files_to_files(spark, files, tmp_path):
 
     def report(name):
         return sorted(
-            line for p in (tmp_path / "out" / name).glob("part-*") for line in p.read_text().split()
+            line for p in (out / name).glob("part-*") for line in p.read_text().split()
         )
 
     # site came with a list, applicant was generated; a field used by several
@@ -192,6 +199,71 @@ def test_job_from_files_to_files(spark, files, tmp_path):
     ]
     assert report("missing") == ["contact", "contact", "contact", "no_such_column", "org"]
 
+    header, restricted = read_back(out / "rejects" / "restrict")
+    assert "site" in header and {r[header.index("proposal_id")] for r in restricted} == {"5"}
+    assert sorted(p.name for p in (out / "rejects").iterdir()) == ["block", "primary", "restrict"]
+
+
+def test_a_broken_run_leaves_the_outputs_of_the_one_before(spark, files, monkeypatch):
+    run_job(spark, files)
+    before = published(spark, files.output)
+    seen = {p: p.read_bytes() for p in Path(before).rglob("*") if p.is_file()}
+    write, names = writers.write_csv, ["unknown", "missing", "proposal", "applicant", "area", "reviewer_organization", "name"]
+    for last in (0, 3, len(names) - 1):
+        written = []
+
+        def write_some(df, path, header=True):
+            if len(written) == last:
+                raise OSError("the run ends here")
+            write(df, path, header)
+            written.append(path)
+
+        monkeypatch.setattr(writers, "write_csv", write_some)
+        with pytest.raises(OSError, match="ends here"):
+            run_job(spark, files)
+        assert published(spark, files.output) == before
+        assert {p: p.read_bytes() for p in Path(before).rglob("*") if p.is_file()} == seen
+        assert [p.name for p in Path(files.output, "runs").iterdir()] == [Path(before).name]
+    monkeypatch.setattr(writers, "write_csv", write)
+    run_job(spark, files)
+    assert published(spark, files.output) != before
+
+
+def test_stages_run_once_with_staging(spark, files):
+    inputs = read_inputs(spark, files)
+    inputs.drop_test_records = True
+    plain, staged = MappedRecords(inputs), MappedRecords(inputs, Staging(spark))
+    assert rows(plain.records) == rows(staged.records)
+    assert plain.rejects.keys() == staged.rejects.keys() == {"primary", "restrict", "block", "test"}
+    for name, df in plain.rejects.items():
+        assert df.columns == staged.rejects[name].columns
+        assert rows(df) == rows(staged.rejects[name])
+        assert "Join" not in staged.rejects[name]._jdf.queryExecution().executedPlan().toString()
+    counts = staged.stage_rows
+    assert counts["test"] == staged.records.count()
+    assert counts["restrict"] - counts["block"] == staged.rejects["block"].count() > 0
+
+
+def test_ids_stay_over_several_runs(spark, files, tmp_path):
+    files = dataclasses.replace(files, key_registry=str(tmp_path / "ids"), restrict="")
+
+    def ids():
+        _, found = read_back(Path(published(spark, files.output)) / "tables" / "applicant")
+        return {(first, last): int(i) for i, first, last, _ in found}
+
+    run_job(spark, files)
+    first = ids()
+    more = [{**RECORDS[0], "proposal_id": str(100 + i), "contact": f"{name} Newname"} for i, name in enumerate(["Ada", "Bea", "Cleo", "Dora"])]
+    Path(files.records).write_text(json.dumps(RECORDS[1:] + more))
+    run_job(spark, files)
+    second = ids()
+    assert all(second[k] == v for k, v in first.items() if k in second)
+    Path(files.records).write_text(json.dumps(RECORDS + more))
+    run_job(spark, files)
+    third = ids()
+    assert third == first | second
+    assert sorted(third.values()) == list(range(len(third)))
+
 
 def test_test_records_can_be_dropped(spark, files):
     inputs = read_inputs(spark, files)

@@ -2,6 +2,7 @@ import pytest
 
 from conftest import rows
 from mapweave.plans import rules as rule_plans
+from mapweave.plans.expression_columns import expression_columns, with_sources
 from mapweave.plans.rules import Rule, check_rules, declared_types, rules_frame
 
 COLUMNS = ["rid", "name", "note", "t___a", "t___b", "redcap_repeat_instance"]
@@ -109,3 +110,36 @@ BAD = {
 def test_bad_rules_are_refused(message):
     with pytest.raises(ValueError, match=message):
         check_rules(BAD[message], COLUMNS)
+
+
+READABLE = ["a", "b", "Mixed", "s", "dotted.name", "quo`ted", "x"]
+READ = {
+    "upper(a) || b || a": ["a", "b", "a"],
+    "mixed + 1": ["Mixed"],
+    "s.field.inner + s['k']": ["s", "s"],
+    "`dotted.name` = `quo``ted`": ["dotted.name", "quo`ted"],
+    "transform(split(a, ','), x -> x || b)": ["a", "b"],
+    "aggregate(s.list, x, (acc, v) -> acc + v, acc -> acc || b)": ["s", "x", "b"],
+    "filter(s.list, x -> exists(s.other, y -> y = x and y <> a)) ": ["s", "s", "a"],
+    "CASE WHEN a = 'b' THEN `b` ELSE 'x' END": ["a", "b"],
+    "sum(a) FILTER (WHERE b > 0) OVER (PARTITION BY x ORDER BY s)": ["a", "b", "x", "s"],
+    "cast(a AS int) IN (1, 2) AND later IS NULL": ["a", "later"],
+    "'a' || \"b\"": [],
+}
+
+
+@pytest.mark.parametrize("text", READ)
+def test_columns_of_an_expression(spark, text):
+    assert expression_columns(spark, text, READABLE) == READ[text]
+
+
+def test_sources_of_expr_may_be_left_out(spark):
+    rules = [
+        Rule("t", "one", "expr", ("upper(A)",)),
+        Rule("t", "two", "expr", ("upper(a)",), reads=("b",)),
+        Rule("t", "three", "field", ("a",)),
+    ]
+    assert [r.sources for r in with_sources(spark, rules, READABLE)] == [["a"], ["b"], ["a"]]
+    for text in ("a +", "*", "count(*) + (SELECT 1)"):
+        with pytest.raises(ValueError, match="rule for t.one"):
+            with_sources(spark, [Rule("t", "one", "expr", (text,))], READABLE)
