@@ -330,6 +330,12 @@ def _chunks(batches, column: int):
             yield batch.slice(begin)
 
 
+# Parameters that are averaged together, and the rows that carry them.
+BLOCK = 1024
+MOVED = "block int, words long, values binary"
+ARROW_MOVED = pa.schema([("block", pa.int32()), ("words", pa.int64()), ("values", pa.binary())])
+
+
 def trained(ids: DataFrame, rounds: int = ROUNDS, groups: int = GROUPS) -> WindowNetwork:
     """Train on all documents of (row, ids); without words the first parameters stay."""
     network = WindowNetwork(groups=groups)
@@ -348,22 +354,55 @@ def trained(ids: DataFrame, rounds: int = ROUNDS, groups: int = GROUPS) -> Windo
                 count += len(words)
             if count:
                 # Words that a task has not seen keep their parameters there.
-                moved = own.flat.astype(np.float64) - shared.value
-                at = np.flatnonzero(moved)
-                places = pa.array(np.concatenate(([-1], at)), pa.int32())
-                values = pa.array(np.concatenate(([1.0], moved[at])) * count)
-                yield pa.RecordBatch.from_arrays([places, values], names=["place", "value"])
-
-        sums = ids.select("ids").mapInArrow(run, "place int, value double").groupBy("place").agg(F.sum("value").alias("value"))
-        got = sums.toPandas().sort_values("place")
-        if len(got):
-            value = got["value"].to_numpy()
-            flat = network.flat.astype(np.float64)
-            flat[got["place"].to_numpy()[1:]] += value[1:] / value[0]
+                yield _moved(own.flat - shared.value, count)
+
+        got = _averaged(ids.select("ids").mapInArrow(run, MOVED)).collect()
+        total = sum(r["words"] for r in got if r["block"] < 0)
+        flat = network.flat.copy()
+        for r in got:
+            if r["block"] >= 0:
+                part = np.frombuffer(r["values"], np.float64)
+                at = r["block"] * BLOCK
+                flat[at : at + BLOCK] += (part / total)[: len(flat) - at].astype(flat.dtype)
+        if total:
             network = WindowNetwork(flat, groups)
     return network
 
 
+def _moved(moved: np.ndarray, words: int) -> pa.RecordBatch:
+    """What a task changed: a row for each block of parameters that moved, and one, block -1, for its words."""
+    blocks = np.zeros((-(-len(moved) // BLOCK), BLOCK), np.float32)
+    blocks.reshape(-1)[: len(moved)] = moved
+    at = np.flatnonzero(blocks.any(axis=1))
+    values = [b"", *(blocks[i].tobytes() for i in at)]
+    columns = [pa.array(np.append(-1, at), pa.int32()), pa.array([words] * len(values), pa.int64())]
+    return pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.binary())], names=["block", "words", "values"])
+
+
+def _averaged(rows: DataFrame) -> DataFrame:
+    """(block, words, values): the moves of all tasks added up, each times its words; in one order on every run."""
+    placed = rows.withColumn("task", F.spark_partition_id()).repartition("block").sortWithinPartitions("block", "task")
+
+    def run(batches):
+        block, words, total = None, 0, np.zeros(0)
+
+        def out():
+            return pa.RecordBatch.from_pydict({"block": [block], "words": [words], "values": [total.tobytes()]}, ARROW_MOVED)
+
+        for batch in batches:
+            for number, count, values in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if number != block:
+                    if block is not None:
+                        yield out()
+                    block, words, total = number, 0, np.zeros(len(values) // 4)
+                words += count
+                total = total + np.frombuffer(values, np.float32).astype(np.float64) * count
+        if block is not None:
+            yield out()
+
+    return placed.select("block", "words", "values").mapInArrow(run, MOVED)
+
+
 def scored(ids: DataFrame, network: WindowNetwork) -> DataFrame:
     """(row, n_words, log_likelihood) of every document of (row, ids).
 

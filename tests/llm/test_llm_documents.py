@@ -463,6 +463,64 @@ def test_network_learns_and_is_normalised(spark, odd, nothing, documents):
     assert masked_lm.pseudo_likelihood(nothing).count() == 0
 
 
+def test_moves_of_tasks_are_averaged_by_their_words(spark):
+    draw = np.random.default_rng(2)
+    size = 2 * masked_lm.BLOCK + 77
+    moves = [draw.normal(0, 1, size).astype(np.float32) for _ in range(3)]
+    moves[1][: masked_lm.BLOCK] = 0
+    counts = [5, 1, 10]
+    rows = [r for m, c in zip(moves, counts) for r in masked_lm._moved(m, c).to_pylist()]
+    assert len(rows) == 3 * 4 - 1
+    table = spark.createDataFrame([(r["block"], r["words"], bytearray(r["values"])) for r in rows], masked_lm.MOVED)
+    got = {r.block: r for r in masked_lm._averaged(table.repartition(5)).collect()}
+    assert got[-1].words == 16
+    total = np.concatenate([np.frombuffer(got[b].values, np.float64) for b in range(3)])[:size]
+    assert total == pytest.approx(sum(m.astype(np.float64) * c for m, c in zip(moves, counts)))
+
+
+def test_a_document_scores_what_its_words_say(documents):
+    """Each word's probability worked out one by one, from the counts and the parameters."""
+    counts = {bytes(r.word): r.n for r in masked_lm.word_counts(documents).collect()}
+    listed = masked_lm.vocabulary(documents)
+    groups = masked_lm.groups_for(listed)
+    flat = np.random.default_rng(7).normal(0, 0.3, len(masked_lm.WindowNetwork(groups=groups).flat))
+    network = masked_lm.WindowNetwork(flat, groups)
+    classes = masked_lm.rare_classes(groups)
+    totals = Counter()
+    for word, n in counts.items():
+        if word not in set(listed):
+            totals[zlib.crc32(word) % classes] += n
+
+    def number(word):
+        return listed.index(word) + 1 if word in listed else len(listed) + 1 + zlib.crc32(word) % classes
+
+    def log_probability(numbers, at):
+        hidden = network.parts["hidden"].astype(float)
+        for table, offset in zip(network.parts["inputs"], masked_lm.OFFSETS):
+            there = at + offset
+            hidden = hidden + table[numbers[there] if 0 <= there < len(numbers) else 0]
+        hidden = np.append(np.tanh(hidden), 1)
+        g, m = divmod(numbers[at], groups)
+        out = 0.0
+        for weights, chosen in ((network.parts["group"], g), (network.parts["member"][g], m)):
+            logits = hidden @ weights.astype(float)
+            out += logits[chosen] - np.log(np.exp(logits).sum())
+        return out
+
+    few = documents.orderBy(F.length("text")).where("length(text) > 60").limit(6)
+    ids = masked_lm.with_ids(few, listed, keep=["doc_id", "text"]).withColumn("key", F.col("row.doc_id"))
+    shares = masked_lm.class_shares(masked_lm.word_counts(documents), listed)
+    inside = {r.key: r.inside for r in masked_lm.within_classes(ids, shares).collect()}
+    for r in masked_lm.scored(ids, network).collect():
+        words = r.row.text.encode().lower().split()
+        numbers = [number(w) for w in words]
+        want = sum(log_probability(numbers, i) for i in range(len(words)))
+        want_inside = sum(np.log(counts[w] / totals[zlib.crc32(w) % classes]) for w in words if w not in listed)
+        assert r.n_words == len(words)
+        assert r.log_likelihood == pytest.approx(want, rel=1e-4)
+        assert inside.get(r.row.doc_id, 0.0) == pytest.approx(want_inside)
+
+
 def test_gradient_of_the_network():
     draw = np.random.default_rng(1)
     words = draw.integers(1, masked_lm.WORDS, 40)
