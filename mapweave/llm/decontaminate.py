@@ -14,10 +14,13 @@ more passes over the documents, whose hits are then united per document.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -270,31 +273,38 @@ def contamination(
     """
     spark = docs.sparkSession
     split, parts = item_parts(items, item_id, item_text)
-    passes = []
-    source = docs
-    if parts > 1:
-        # One staged key per row, so that the hits of the passes meet again.
-        source = common.staging(docs).cut(docs.withColumn("_row_key", F.expr("uuid()")))
-    for part in range(parts):
+
+    def scanned(source: DataFrame, part: int) -> tuple[DataFrame, Broadcast]:
         # At most about PART_BYTES: the parts are cut by the measured size.
         held = [tuple(r) for r in split.where(F.col("part") == part).select("item", "text").toLocalIterator()]
-        passes.append(_scan_part(source, spark.sparkContext.broadcast(ItemPart(held, window)), text))
-    scanned = passes[0]
-    if parts > 1:
-        for more in passes[1:]:
-            scanned = scanned.unionByName(more)
-        scanned = (
-            scanned.groupBy(F.col("row._row_key").alias("_key"))
-            .agg(
-                F.first("row").alias("row"),
-                F.first("n_words").alias("n_words"),
-                F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
-                F.sort_array(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-            )
-            .select(F.col("row").dropFields("_row_key").alias("row"), "n_words", merged_spans("spans"), "item_ids")
+        shared = spark.sparkContext.broadcast(ItemPart(held, window))
+        return _scan_part(source, shared, text), shared
+
+    if parts == 1:
+        found = scanned(docs, 0)[0]
+    else:
+        # One staged key per row, so that the hits of the passes meet again. Only hits are kept of
+        # all passes but one, and a part goes before the next is held.
+        key, stage = f"key_{uuid4().hex}", common.staging(docs)
+        source = stage.cut(docs.withColumn(key, F.expr("uuid()")))
+        passes = []
+        for part in range(1, parts):
+            more, shared = scanned(source, part)
+            hits = more.where(F.size("spans") > 0)
+            passes.append(stage.cut(hits.select(F.col(f"row.{key}").alias(key), "spans", "item_ids")))
+            shared.destroy()
+        hits = reduce(DataFrame.unionByName, passes).groupBy(F.col(key).alias("_key"))
+        hits = hits.agg(
+            F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("item_ids")).alias("_items")
         )
+        first = scanned(source, 0)[0]
+        joined = first.join(stage.cut(hits), F.col(f"row.{key}") == F.col("_key"), "left")
+        spans = F.sort_array(F.concat("spans", F.coalesce("_spans", F.array().cast(SPANS.simpleString()))))
+        names = F.concat("item_ids", F.coalesce("_items", F.array().cast("array<string>")))
+        joined = joined.select("row", "n_words", spans.alias("spans"), F.sort_array(F.array_distinct(names)).alias("item_ids"))
+        found = joined.select(F.col("row").dropFields(key).alias("row"), "n_words", merged_spans("spans"), "item_ids")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
-    return scanned.withColumn("n_hit", hit)
+    return found.withColumn("n_hit", hit)
 
 
 def merged_spans(column: str):

@@ -73,11 +73,13 @@ def test_hits_are_those_of_brute_force(spark, monkeypatch, part_bytes):
     text = lambda n: " ".join(draw.choice(letters, n))
     items = [(i, text(int(n))) for i, n in enumerate((1, 2, 3, 4, 5, 6, 9, 12))] + [(None, "d a d"), (7, None), (9, " !"), (2, "b c")]
     docs = [(i, text(int(n))) for i, n in enumerate(draw.integers(0, 60, 40))] + [(99, None), (99, None), (100, "A-B,c d")]
-    got = decontaminate.contamination(
-        spark.createDataFrame(docs, "doc_id long, text string"),
+    found = decontaminate.contamination(
+        spark.createDataFrame([(*d, "kept") for d in docs], "doc_id long, text string, _row_key string"),
         spark.createDataFrame(items, "item_id long, text string"),
         window=5,
-    ).collect()
+    )
+    got = found.collect()
+    assert {r.row._row_key for r in got} == {"kept"} and found.schema["row"].dataType.names == ["doc_id", "text", "_row_key"]
     want = Counter((d, *map(str, brute_hits(t, items, 5))) for d, t in docs)
     assert Counter((r.row.doc_id, str(r.n_words), str(r.n_hit), str(r.item_ids)) for r in got) == want
     for r in got:
