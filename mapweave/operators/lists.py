@@ -15,7 +15,7 @@ from mapweave.functions.casts import comparable, compared_as_text
 from mapweave.functions.expressions import field
 from mapweave.operators.filters import Stage
 from mapweave.operators.sift import can_sift, may_match
-from mapweave.operators.skew import balanced_join, temp_name, will_broadcast
+from mapweave.operators.skew import balanced_join, heavy_keys, key_condition, temp_name, will_broadcast
 
 
 def _prepared(
@@ -82,13 +82,19 @@ def block(records: DataFrame, entries: DataFrame) -> DataFrame:
     return kept.select(*[field(c) for c in records.columns])
 
 
+# How records meet a list: straight away, past a bitmap, or where they lie already.
+WAYS = DIRECT, SIFTED, PLACED = "direct", "sifted", "placed"
+
+
 def _matched(
-    records: DataFrame, entries: DataFrame, alive: str, match: str, null_safe: bool = False, unique: bool = False, sift: bool = False
+    records: DataFrame, entries: DataFrame, alive: str, match: str, way: str, null_safe: bool = False, unique: bool = False
 ) -> DataFrame:
     """Left join of the rows alive, with ``match`` true where an entry was found.
 
-    The other rows meet no entry and stay as they are, once each. With ``sift`` rows that have no match
-    for certain pass by the join too; ``records`` is then read twice and should be staged.
+    The other rows meet no entry and stay as they are, once each. ``way`` is one of WAYS: with SIFTED,
+    rows that have no match for certain pass by the join too, and ``records``, which is read
+    twice, should be staged. With PLACED the join is a plain one, so that records which an earlier join
+    on the same key has placed are not shuffled again.
     """
     shared = _shared(records, entries)
     left, right, keys = _prepared(records, entries, shared)
@@ -96,7 +102,10 @@ def _matched(
     marked = right.withColumns({living: F.lit(True), match: F.lit(True)})
     added = [c for c in entries.columns if c not in shared]
     columns = [field(c) for c in records.columns + added + [match]]
-    if not sift or not can_sift(left, right, keys):
+    if way == PLACED:
+        marked = marked.drop(living)
+        return left.join(marked, key_condition(keys, null_safe) & F.col(alive), "left").select(*columns)
+    if way == DIRECT or not can_sift(left, right, keys):
         return balanced_join(left, marked, [*keys, (alive, living)], "left", null_safe, unique).select(*columns)
     told = may_match(left, right, keys, maybe, null_safe)
     going = F.col(alive) & F.col(maybe)
@@ -105,24 +114,24 @@ def _matched(
     return joined.unionByName(rest, allowMissingColumns=True)
 
 
-def mark_enriched(records: DataFrame, entries: DataFrame, alive: str, sift: bool = False) -> DataFrame:
+def mark_enriched(records: DataFrame, entries: DataFrame, alive: str, way: str = DIRECT) -> DataFrame:
     """``enrich`` for the rows alive."""
     match = temp_name("match")
-    return _matched(records, entries, alive, match, sift=sift).drop(match)
+    return _matched(records, entries, alive, match, way).drop(match)
 
 
-def mark_restricted(records: DataFrame, entries: DataFrame, alive: str, sift: bool = False) -> DataFrame:
+def mark_restricted(records: DataFrame, entries: DataFrame, alive: str, way: str = DIRECT) -> DataFrame:
     """``restrict`` that keeps unlisted rows, no longer alive."""
     match = temp_name("match")
-    joined = _matched(records, entries, alive, match, sift=sift)
+    joined = _matched(records, entries, alive, match, way)
     return joined.withColumn(alive, F.col(alive) & F.col(match).isNotNull()).drop(match)
 
 
-def mark_blocked(records: DataFrame, entries: DataFrame, alive: str, sift: bool = False) -> DataFrame:
+def mark_blocked(records: DataFrame, entries: DataFrame, alive: str, way: str = DIRECT) -> DataFrame:
     """``block`` that keeps the blocked rows, no longer alive."""
     _check_block(records, entries)
     match = temp_name("match")
-    joined = _matched(records, entries.distinct(), alive, match, null_safe=True, unique=True, sift=sift)
+    joined = _matched(records, entries.distinct(), alive, match, way, null_safe=True, unique=True)
     return joined.withColumn(alive, F.col(alive) & F.col(match).isNull()).drop(match)
 
 
@@ -130,6 +139,29 @@ def mark_blocked(records: DataFrame, entries: DataFrame, alive: str, sift: bool
 Cut = Callable[[DataFrame], DataFrame]
 
 
+def _on_one_key(records: DataFrame, lists: list[DataFrame]) -> list[DataFrame]:
+    """The first lists, all too large to broadcast, that share one key with the records and what they add."""
+    columns, group = set(records.columns), []
+    for entries in lists:
+        shared = columns & set(entries.columns)
+        if will_broadcast(entries) or (group and shared != key):
+            break
+        key = shared
+        group.append(entries)
+        columns |= set(entries.columns)
+    return group
+
+
+def _have_heavy_keys(records: DataFrame, group: list[DataFrame]) -> bool:
+    """Whether a key of the records, or of one of the lists, has more rows than one task should get."""
+    for n, entries in enumerate(group):
+        left, right, keys = _prepared(records, entries, _shared(records, entries))
+        sides = [(right, [b for _, b in keys])] + ([(left, [a for a, _ in keys])] if n == 0 else [])
+        if any(heavy_keys(side, names, temp_name("n")) is not None for side, names in sides):
+            return True
+    return False
+
+
 def _stage(operator, marking, lists: Iterable[DataFrame], cut: Cut | None, rejects: bool = True) -> Stage:
     lists = list(lists)
 
@@ -147,9 +179,18 @@ def _stage(operator, marking, lists: Iterable[DataFrame], cut: Cut | None, rejec
         return records
 
     def mark(records: DataFrame, alive: str) -> DataFrame:
-        for entries in lists:
-            sift = cut is not None and not will_broadcast(entries)
-            records = marking(placed(records, entries), entries, alive, sift)
+        at = 0
+        while at < len(lists):
+            large = cut is not None and not will_broadcast(lists[at])
+            group = _on_one_key(records, lists[at:]) if large else lists[at : at + 1]
+            records = placed(records, group[0])
+            if len(group) > 1 and not _have_heavy_keys(records, group):
+                for entries in group:
+                    records = marking(records, entries, alive, PLACED)
+            else:
+                group = group[:1]
+                records = marking(records, group[0], alive, SIFTED if large else DIRECT)
+            at += len(group)
         return records
 
     return Stage(mark, keep, rejects)

@@ -5,37 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from mapweave.functions.expressions import field
-from mapweave.operators.skew import temp_name
-
-# Copies of one row emitted by one task.
-COPIES_PER_TASK = 1_000_000
-
-
-def bag_difference(left: DataFrame, right: DataFrame, per_task: int = COPIES_PER_TASK) -> DataFrame:
-    """Rows of ``left`` minus rows of ``right``, each copy taken off once.
-
-    Same result as exceptAll. Both sides are counted before the shuffle, and
-    the copies of a row that is left many times are emitted by many tasks.
-    """
-    sign, copies, chunk = (temp_name(n) for n in ("sign", "copies", "chunk"))
-    columns = [field(c) for c in left.columns]
-    left_over = (
-        left.withColumn(sign, F.lit(1))
-        .union(right.withColumn(sign, F.lit(-1)))
-        .groupBy(*columns)
-        .agg(F.sum(sign).alias(copies))
-        .where(F.col(copies) > 0)
-    )
-    repeated = F.explode(F.sequence(F.lit(1), F.col(copies)))
-    few = left_over.where(F.col(copies) <= per_task).withColumn(chunk, repeated)
-    # Only rows with more copies than one task should emit are dealt out again.
-    chunks = left_over.where(F.col(copies) > per_task).withColumn(
-        chunk, F.explode(F.sequence(F.lit(0), F.floor((F.col(copies) - 1) / per_task)))
-    )
-    in_chunk = F.least(F.lit(per_task), F.col(copies) - F.col(chunk) * per_task)
-    many = chunks.repartition(*columns, chunk).withColumn(copies, F.explode(F.sequence(F.lit(1), in_chunk)))
-    return few.select(*columns).union(many.select(*columns))
+
+def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows of ``left`` minus rows of ``right``, each copy taken off once."""
+    return left.exceptAll(right)
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -183,8 +183,8 @@ def column_reports(
     names = reshape.plain_columns(records.columns) + list(groups)
     present = local_frame(spark, [(n,) for n in names], T.StructType().add("column", "string"))
     mapped = rule_plans.mapped_fields(rule_plans.rules_frame(spark, rules))
-    unknown = present.exceptAll(mapped).where(~F.col("column").isin(*ignored))
-    return unknown, mapped.exceptAll(present)
+    unknown = reports.bag_difference(present, mapped).where(~F.col("column").isin(*ignored))
+    return unknown, reports.bag_difference(mapped, present)
 
 
 class MappedRecords:
