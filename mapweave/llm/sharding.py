@@ -19,6 +19,7 @@ from mapweave.llm import common
 
 SHARDS = 16
 SEED = 20_011
+DRAWS = 1 << 30
 
 
 def interleaved(rows: DataFrame, source: str, order: list[Column], shards: int, seed: int) -> DataFrame:
@@ -37,7 +38,10 @@ def interleaved(rows: DataFrame, source: str, order: list[Column], shards: int,
     ordered = keyed.withColumn("_bucket", common.hash_bucket("_hash", buckets))
     # Hashes are signed; their order is all that matters.
     ranked = common.numbered(ordered, ["_stratum"], "_bucket", ["_hash", *rows.columns])
-    place = (F.col("nth") + 0.5) / F.col("total")
+    # Where a row lies between its rank and the next is drawn, so that sources of few rows, which
+    # all have the same ranks, spread over all cells.
+    drawn = (F.pmod(F.xxhash64(F.lit(seed + 1), "_hash", "_stratum"), F.lit(DRAWS)) + 0.5) / DRAWS
+    place = (F.col("nth") + drawn) / F.col("total")
     placed = ranked.select(
         *rows.columns, "_stratum", "_hash", place.alias("_place"), F.floor(place * buckets).cast("int").alias("_cell")
     )
