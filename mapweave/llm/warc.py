@@ -23,7 +23,10 @@ from mapweave.llm import binary_files
 
 # Copies of the groups' winners, so that the rows of one group go to as many tasks.
 SALTS = 32
-RECORDS_PER_FILE = 8_192
+# Bytes of one archive, to which one record at most is added.
+ARCHIVE_BYTES = 64 << 20
+# Pages taken at a time.
+PAGES = 256
 PIECE = 1 << 16
 GZIP = 31
 LEVEL = 6
@@ -186,18 +189,28 @@ def write_archives(
     The payload is the text in UTF-8 (null: empty). Of pages with equal payloads, empty ones
     too, the one with the largest id is the response and the others revisit it.
     Rows with that same id are all responses; null ids come below all others. A null
-    url is left out. No pages give no archives.
+    url is left out. No pages give no archives. A task begins another archive, in a folder of
+    its own, once one has ARCHIVE_BYTES.
     """
+    most = ARCHIVE_BYTES
 
     def run(batches):
+        archive = size = 0
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            rows = zip(*columns, strict=True)
-            out = [record_bytes(str(p), u, data, None if r is None else str(r))[:-1] for p, u, data, r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
+            for begin in range(0, batch.num_rows, PAGES):
+                columns = [batch.column(i).slice(begin, PAGES).to_pylist() for i in range(4)]
+                out, archives = [], []
+                for page, address, data, original in zip(*columns, strict=True):
+                    if size >= most:
+                        archive, size = archive + 1, 0
+                    out.append(record_bytes(str(page), address, data, None if original is None else str(original))[:-1])
+                    archives.append(archive)
+                    size += len(out[-1]) + 1
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(archives, pa.int32())], names=["record", "archive"])
 
     decided = with_originals(pages, page_id, url, html)
-    binary_files.write_records(decided.mapInArrow(run, "record binary"), "record", path, RECORDS_PER_FILE)
+    records = decided.mapInArrow(run, "record binary, archive int")
+    binary_files.write_records(records, "record", path, folder="archive")
 
 
 def read_archives(spark: SparkSession, path: str, keep_payload: bool = False, id_type: str = "long") -> DataFrame:

@@ -200,6 +200,18 @@ def check_shards(rows, shards):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s]))
 
 
+def test_many_small_sources_spread_over_all_cells(spark, monkeypatch):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'t' AS text", "concat('s', id) AS source")
+    monkeypatch.setattr(common, "ROWS_PER_BUCKET", 250)
+    seen = []
+    numbered = common.numbered
+    monkeypatch.setattr(common, "numbered", lambda df, group, bucket, *a: seen.append((df, bucket)) or numbered(df, group, bucket, *a))
+    check_shards(sharding.shard_documents(docs).collect(), 16)
+    df, cell = seen[-1]
+    held = [r["count"] for r in df.groupBy(cell).count().collect()]
+    assert len(held) == common.bucket_count(4000) and max(held) < 2 * 4000 / len(held)
+
+
 def test_shards_match_the_mixture(documents):
     rows = sharding.shard_documents(documents).collect()
     texts = {r.doc_id: r.text for r in documents.collect()}

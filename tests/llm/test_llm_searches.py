@@ -61,7 +61,7 @@ PAGES = "page_id long, url string, html string, payload string, page string"
 
 def test_archives_survive_the_round_trip(spark, monkeypatch):
     common.share_code(spark)
-    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 3)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1000)
     texts = ["<p>é</p>", None, "", "<p>é</p>", "x" * 300_000, "a\r\n\r\nb", "<p>é</p>", "WARC/1.1\r\n\r\n"]
     rows = [(i, f"http://h/{i}\r\nX: y" if i % 2 else None, t, "p", "q") for i, t in enumerate(texts)]
     rows += [rows[6], (None, "u", "<p>é</p>", "p", "q"), (None, None, "alone", "p", "q")]
@@ -86,6 +86,18 @@ def test_archives_survive_the_round_trip(spark, monkeypatch):
         assert whole.startswith(b"WARC/1.1\r\n") and whole.endswith(b"\r\n\r\n")
 
 
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 50_000)
+    noise = np.random.default_rng(1).integers(97, 123, (40, 9000), dtype=np.uint8)
+    pages = spark.createDataFrame([(i, None, n.tobytes().decode(), "p", "q") for i, n in enumerate(noise)], PAGES).coalesce(1)
+    path = common.staging(pages).folder("archives")
+    warc.write_archives(pages, path)
+    sizes = [len(r.content) for r in binary_files.read_files(spark, path).collect()]
+    largest = max(len(warc.record_bytes(str(i), None, n.tobytes(), None)) for i, n in enumerate(noise))
+    assert len(sizes) > 3 and max(sizes) < 50_000 + largest
+    assert warc.read_archives(spark, path).count() == 40
+
+
 def test_no_pages_give_no_records(spark):
     pages = spark.createDataFrame([], PAGES)
     path = common.staging(pages).folder("archives")
