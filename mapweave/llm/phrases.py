@@ -251,7 +251,8 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", su
 
         marks[3] = spark.sparkContext.broadcast(_bits_of(_mine(texts, longer), needed))
 
-    most_bytes, most_held, most_words = BYTES, HELD, WORDS
+    # Here a phrase is held as the numbers of its words.
+    most_bytes, most_held, most_words = BYTES, HELD // longest, WORDS
 
     def count(batches):
         words, held, size = _Words(), {}, 0
