@@ -90,7 +90,10 @@ def test_records_are_cut_before_a_large_list(spark, data, monkeypatch):
     monkeypatch.setattr(lists, "will_broadcast", lambda df: True)
     assert ids(lists.restrict_all([listed], cut)(data).kept) == [1] and not cuts
     monkeypatch.setattr(lists, "will_broadcast", lambda df: False)
-    assert ids(lists.restrict_all([listed, listed], cut)(data).kept) == [1] and len(cuts) == 2
+    other = entries(spark, ["seg"], ("a",))
+    assert ids(lists.restrict_all([listed, other], cut)(data).kept) == [1] and len(cuts) == 2
+    # Lists on one key meet the records where the first has placed them.
+    assert ids(lists.restrict_all([listed, listed], cut)(data).kept) == [1] and len(cuts) == 3
 
 
 def test_no_lists(spark, data):
