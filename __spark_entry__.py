@@ -794,12 +794,14 @@ def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "orders").selectExpr(
         "struct(o_orderkey, nullif(o_orderstatus, 'P') AS status, concat('\"', o_orderpriority, '},{\\\\') AS note,"
         " struct(o_custkey AS c, array(o_orderkey % 7) AS d) AS customer, o_totalprice > 250000 AS big) AS r",
-        "o_orderkey div 20000 AS part",
+        # Rows as they are read, so that no key, however often it comes, makes an array longer.
+        "monotonically_increasing_id() div 20000 AS part",
     )
-    arrays = rows.groupBy("part").agg(F.to_json(F.collect_list("r")).alias("value"))
+    # A few arrays in each task, however many there are.
+    arrays = rows.repartition(rows.count() // 20000 + 1, "part").groupBy("part").agg(F.to_json(F.collect_list("r")).alias("value"))
     path = Staging(spark).folder("records_array")
     # One array document per file, each of at most 20,000 records.
-    arrays.repartition("part").select("value").write.option("maxRecordsPerFile", 1).text(path)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return read_json_strings(spark, path, split_bytes=0)
 
 

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mapweave.sources.split_rows import SPLIT, ahead, gathered, malformed, read_rows, whole
+from mapweave.sources.split_rows import SPLIT, ahead, gathered, malformed, read_rows, tasks_for, whole
 from mapweave.sources.storage import Staging
 
 WHAT = "CSV file"
@@ -87,7 +87,8 @@ def csv_records(spark: SparkSession, paths: list[str], staging: Staging, sep: st
     rows = read_rows(spark, paths, "\n")
     zero, one = _open_after(F.col("value"), sep)
     rows = rows.withColumns({"after_0": zero, "after_1": one})
-    rows = staging.cut(_states(rows, SPLIT, "nth"))
+    tasks = tasks_for(spark, paths)
+    rows = staging.cut(_states(rows.repartition(tasks, *SPLIT), SPLIT, "nth"))
     placed = rows.join(staging.cut(_split_starts(rows)), SPLIT)
     state = F.when(F.col("start") == 0, F.col("before_0")).otherwise(F.col("before_1"))
     placed = placed.withColumn("state", state).select(
@@ -99,7 +100,7 @@ def csv_records(spark: SparkSession, paths: list[str], staging: Staging, sep: st
         (_behind("state") == 0).alias("ends"),
     )
     # A record that begins but never ends has all lines behind it.
-    many = gathered(placed, "\n")
+    many = gathered(placed, "\n", tasks)
     several = F.when(F.col("complete"), F.col("value")).otherwise(malformed(WHAT, F.col("file")))
     found = whole(placed).unionByName(many.select("file", several.alias("value"), "lead")).where("NOT lead.header")
     plain = F.replace(F.regexp_replace("value", r"\r\z", ""), F.lit("\r\n"), F.lit("\n"))

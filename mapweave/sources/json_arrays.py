@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mapweave.sources.split_rows import SPLIT, ahead, gathered, malformed, read_rows, whole
+from mapweave.sources.split_rows import SPLIT, ahead, gathered, malformed, read_rows, tasks_for, whole
 from mapweave.sources.storage import Staging
 
 WHAT = "JSON array"
@@ -94,7 +94,8 @@ def array_records(spark: SparkSession, paths: list[str], staging: Staging) -> Da
     that are no objects are errors when the records are read; an empty array has none. What
     is inside a record is left to the JSON parser. Staged tables last as long as ``staging``.
     """
-    rows = staging.cut(_running(_rows(spark, paths)))
+    tasks = tasks_for(spark, paths)
+    rows = staging.cut(_running(_rows(spark, paths).repartition(tasks, *SPLIT)))
     starts = staging.cut(_split_starts(rows))
     placed = rows.join(starts, SPLIT)
     odd = (F.col("odd") + F.col("open")) % 2
@@ -110,7 +111,7 @@ def array_records(spark: SparkSession, paths: list[str], staging: Staging) -> Da
         ((depth + more == 1) & ((odd + F.col("quotes")) % 2 == 0)).alias("ends"),
     )
     rows, tails = placed.where("NOT tail"), placed.where("tail")
-    many = gathered(rows, "}")
+    many = gathered(rows, "}", tasks)
     file, opened = F.col("file"), F.concat(_opened(), F.lit("}"))
     several = F.when(F.col("complete"), opened).otherwise(malformed(WHAT, file))
     # No rows, but an error for files that do not end as an array ends.

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SPLIT = ["file", "block"]
+# Bytes of text that a task orders at a time; a split, which is one group, may be larger.
+TASK_BYTES = 8 << 20
 
 
 def read_rows(spark: SparkSession, paths: list[str], separator: str) -> DataFrame:
@@ -45,19 +47,25 @@ def larger_than_a_split(spark: SparkSession, path: str | list[str], most: int |
     return large, sorted(f.path for f in files if f.length <= most)
 
 
+def tasks_for(spark: SparkSession, paths: list[str]) -> int:
+    """Tasks that share the text of files, so that what each orders does not grow with the files."""
+    total = spark.read.format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0
+    return total // TASK_BYTES + 1
+
+
 def whole(placed: DataFrame) -> DataFrame:
     """(file, value, lead): records that lie in one row."""
     return placed.where("begins AND ends").select("file", "value", "lead")
 
 
-def gathered(placed: DataFrame, separator: str) -> DataFrame:
+def gathered(placed: DataFrame, separator: str, tasks: int) -> DataFrame:
     """(file, value, lead, complete): records of several rows; ``lead`` is that of the first.
 
     A record that does not begin, or does not end, is not complete. Rows are numbered in their
     split by how many records began there; those of a record that an earlier split began
-    have number 0 and are numbered on by the records begun before.
+    have number 0 and are numbered on by the records begun before. ``tasks`` share the rows.
     """
-    rows = placed.where("NOT (begins AND ends)")
+    rows = placed.where("NOT (begins AND ends)").repartition(tasks, *SPLIT)
     begun = F.sum(F.col("begins").cast("long"))
     inside = Window.partitionBy(*SPLIT).orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     pieces = rows.withColumn("number", begun.over(inside)).groupBy(*SPLIT, "number").agg(

@@ -5,8 +5,9 @@ import random
 
 import pytest
 
+import __spark_entry__ as entry
 from conftest import rows
-from mapweave.sources import readers
+from mapweave.sources import readers, split_rows
 from mapweave.sources.json_arrays import array_records
 from mapweave.sources.split_rows import read_rows
 from mapweave.sources.storage import Staging
@@ -105,3 +106,24 @@ def test_lines_are_named_in_order_without_types(spark, tmp_path):
     path.write_text('{"b": 1}\n{"b": \n')
     with pytest.raises(Exception, match="(?i)malformed"):
         readers.read_json_strings(spark, str(path), lines=True).collect()
+
+
+def test_what_a_task_orders_does_not_grow_with_the_files(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr(split_rows, "TASK_BYTES", 1000)
+    path = tmp_path / "records.json"
+    path.write_text(json.dumps([{"id": i, "nested": {"a": [i]}} for i in range(300)]))
+    tasks = path.stat().st_size // 1000 + 1
+    texts = array_records(spark, [str(path)], Staging(spark))
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert tasks > 5 and f", {tasks}), REPARTITION_BY_NUM" in plan
+    assert sorted(json.loads(r.value)["id"] for r in texts.collect()) == list(range(300))
+
+
+def test_arrays_of_the_query_stay_short_if_keys_repeat(spark, tmp_path, monkeypatch):
+    read = []
+    monkeypatch.setattr(entry, "read_json_strings", lambda spark, path, split_bytes: read.append(path))
+    columns = "7L AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, CAST(1 AS DOUBLE) AS o_totalprice, '1-URGENT' AS o_orderpriority"
+    spark.range(0, 41000, 1, 1).selectExpr(*columns.split(", ")).write.parquet(str(tmp_path / "orders.parquet"))
+    entry.json_array(spark, str(tmp_path))
+    sizes = [len(json.loads(r.value)) for r in spark.read.text(read[0], wholetext=True).collect()]
+    assert sum(sizes) == 41000 and max(sizes) <= 20000
