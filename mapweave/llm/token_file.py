@@ -243,6 +243,9 @@ def token_segments(docs: DataFrame, spec: str, doc_id: str, text: str, end_id: i
                         segment, held, size = segment + 1, [], 0
         if held:
             yield packed()
+        del encoder
+        held.clear()
+        common.give_back()
 
     schema = "file int, segment int, doc_ids array<long>, lengths array<int>, ids binary"
     return ordered.select("doc_id", "text", F.spark_partition_id().alias("file")).mapInArrow(run, schema)
@@ -323,6 +326,7 @@ def write_tokens(
                     np.array(counts.as_py()), np.frombuffer(ids.as_buffer(), kind).astype(np.int64),
                 )
                 yield pa.RecordBatch.from_arrays([pa.array([record[:-1]], pa.binary())], names=["record"])
+        common.give_back()
 
     binary_files.write_records(segments.mapInArrow(run, "record binary"), "record", f"{path}/ids", SEGMENTS_PER_FILE)
     stage.remove()
@@ -366,6 +370,7 @@ def read_tokens(spark: SparkSession, path: str, keep_ids: bool = False) -> DataF
                         ],
                         names=names,
                     )
+        common.give_back()
 
     schema = "file int, segment int, within long, doc_id long, n_tokens long, ids_crc32 long, ids array<long>"
     stage = common.staging(binary_files.read_files(spark, f"{path}/ids"))

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -609,3 +610,15 @@ def test_one_training_row_for_each_labelled_id(spark):
     rows = labelled.training_rows(docs, labels, "quality").collect()
     again = labelled.training_rows(docs.repartition(7), labels, "quality").collect()
     assert len(rows) == 1 and rows == again and rows[0].label == 1
+
+
+def test_encoding_tasks_give_their_memory_back(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a few words")], "doc_id long, text string")
+    tasks, given = [], []
+    made = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, run, schema: tasks.append(run) or made(df, run, schema))
+    monkeypatch.setattr(common, "give_back", lambda: given.append(True))
+    with open(token_file.default_tokenizer(), encoding="utf-8") as f:
+        token_file.token_segments(docs, f.read(), "doc_id", "text", 2)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a few words"], "file": [0]})
+    assert len(list(tasks[0](iter([batch])))) == 1 and given
