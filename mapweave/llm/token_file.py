@@ -18,9 +18,11 @@ import re
 import struct
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,10 +34,10 @@ END_ID = 2
 BLOCK = 256
 SEGMENT_TOKENS = 1 << 19
 SEGMENTS_PER_FILE = 32
-# Pieces of text whose ids one worker remembers, twice over.
-REMEMBERED = 400_000
-# Texts encoded at a time.
-TEXTS = 1024
+# Bytes that a worker remembers of pieces of text and their ids.
+REMEMBERED = 32 << 20
+# Texts taken at a time, and about how many of their characters are encoded at a time.
+TEXTS, CHARACTERS = 4096, 4 << 20
 # Fixed values of the file format.
 MAGIC = b"HTOK\x01"
 HEADER = struct.Struct("<5sIIIQIIQ")
@@ -46,6 +48,7 @@ BREAK = re.compile(r"\n(?<=\S\n)(?=\S)")
 TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 # Letters below this have been letters in every version of Unicode.
 SETTLED = "\u0370"
+WORD = r"\A\n?[%s]+\z" % "".join(filter(str.isalpha, map(chr, range(ord(SETTLED)))))
 
 
 def default_tokenizer() -> str:
@@ -55,7 +58,7 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """Encodes texts with a tokenizer, each distinct piece of text once.
+    """Encodes texts with a tokenizer, each distinct piece of text once as far as it is remembered.
 
     A byte-level tokenizer that splits words by its pattern starts a new word at every blank
     before a visible character, whatever stands on either side, and takes a line break between
@@ -70,7 +73,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
-        self.kind = "<u2" if vocabulary_size(spec) <= 1 << 16 else "<u4"
+        self.kind, self.code = ("<u2", "H") if vocabulary_size(spec) <= 1 << 16 else ("<u4", "I")
         told = json.loads(spec)
         pre = told.get("pre_tokenizer") or {}
         self.by_piece = (
@@ -87,64 +90,77 @@ class WordEncoder:
         if self.by_piece:
             self.model = self.tokenizer.model
             self.letters = byte_letters()
-            self.line_break = self._ids(["\n"])[0]
-        self.tails: dict[str, bytes] = {}
-        # Ids of pieces after a blank; those that begin with a line break have no blank.
-        self.spaced: dict[str, bytes] = {}
-        self.former: dict[str, bytes] = {}
-
-    def _packed(self, found: list) -> list[bytes]:
-        code = "H" if self.kind == "<u2" else "I"
-        return [array(code, e.ids).tobytes() for e in found]
+            self.line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
+            # Pieces after a blank, and their ids; those that begin with a line break have no blank.
+            self.forget()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return self._packed(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word_ids(self, words: list[str]) -> list[bytes]:
+    def _word_ids(self, words: list[str]) -> "Pool":
         """Ids of a blank, or a line break, and a word of letters each."""
-        letters, tokenize, code = self.letters, self.model.tokenize, "H" if self.kind == "<u2" else "I"
-        blank, found = letters[32], []
-        for w in words:
+        tokenize, blank = self.model.tokenize, self.letters[32]
+        # Words have no zero byte.
+        spelled = "\0".join([w[1:] if w[0] == "\n" else w for w in words]).encode().decode("latin-1")
+        spelled = spelled.translate(self.letters | {0: "\0"}).split("\0") if words else []
+        ids, sizes = array(self.code), []
+        for w, letters in zip(words, spelled, strict=True):
             broken = w[0] == "\n"
-            letters_of = w[1:] if broken else w
-            spelled = letters_of if w.isascii() else letters_of.encode().decode("latin-1").translate(letters)
-            ids = array(code, [t.id for t in tokenize(spelled if broken else blank + spelled)]).tobytes()
-            found.append(self.line_break + ids if broken else ids)
-        return found
-
-    def _learn(self, wanted: set[str]) -> None:
-        known = self.spaced
-        new = wanted.difference(known)
-        if len(known) + len(new) > REMEMBERED:
-            # The pieces met since the last turn stay in reach for one more.
-            self.former, self.spaced = known, {}
-            known, new = self.spaced, wanted
-        if self.former:
-            met = [p for p in new if p in self.former]
-            known.update(zip(met, map(self.former.__getitem__, met)))
-            new = new.difference(met)
-        words, tailed, other = set(), [], []
-        for p in new:
-            if p.isalpha() and p.isascii():
-                words.add(p)
-                continue
-            core = p.rstrip(TAIL)
-            word = core[1:] if core[:1] == "\n" else core
-            if not word.isalpha() or not (word.isascii() or max(word) < SETTLED):
-                other.append(p)
-                continue
-            words.add(core)
-            if len(core) < len(p):
-                tailed.append((p, core, p[len(core) :]))
-        unseen = list(words.difference(known))
-        known.update(zip(unseen, self._word_ids(unseen), strict=True))
-        if len(self.tails) > REMEMBERED // 10:
-            self.tails.clear()
-        tails = list({t for _, _, t in tailed}.difference(self.tails))
-        self.tails.update(zip(tails, self._ids(tails), strict=True))
-        for p, core, tail in tailed:
-            known[p] = known[core] + self.tails[tail]
-        known.update(zip(other, self._ids([p if p[:1] == "\n" else " " + p for p in other]), strict=True))
+            found = [t.id for t in tokenize(letters if broken else blank + letters)]
+            if broken:
+                found[:0] = self.line_break
+            ids.extend(found)
+            sizes.append(len(found))
+        return Pool(np.array(ids, self.kind), np.array(sizes, np.int64))
+
+    def held(self) -> int:
+        """Bytes of what is remembered."""
+        return self.known.nbytes + self.pool.ids.nbytes + self.pool.sizes.nbytes if self.by_piece else 0
+
+    def forget(self) -> None:
+        self.known, self.pool = pa.array([], pa.string()), Pool.of([], self.kind)
+
+    def _learn(self, pieces: pa.Array, is_word: np.ndarray) -> np.ndarray:
+        """Places in the pool of the ids of distinct pieces after a blank; those marked are words of letters."""
+        # The smaller table is the one looked into.
+        at = pc.index_in(self.known, value_set=pieces)
+        met = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+        places = np.full(len(pieces), -1, np.int64)
+        places[at.drop_null().to_numpy()] = met
+        if self.held() > REMEMBERED:
+            # The pieces that are met now stay in reach.
+            self.known, self.pool = self.known.take(pa.array(met)), self.pool.taken(met)
+            places[at.drop_null().to_numpy()] = np.arange(len(met))
+        new = np.flatnonzero(places < 0)
+        words, other = new[is_word[new]], new[~is_word[new]]
+        new = np.concatenate((words, other))
+        places[new] = len(self.known) + np.arange(len(new))
+        learned = pieces.take(pa.array(new))
+        texts = strings(learned)
+        more = self._ids([p if p[:1] == "\n" else " " + p for p in texts[len(words) :]])
+        self.known = pa.concat_arrays([self.known, learned])
+        self.pool = self.pool.joined(self._word_ids(texts[: len(words)]), Pool.of(more, self.kind))
+        return places
+
+    def _pieces_ids(self, pieces: pa.Array) -> "Pool":
+        """Ids of distinct pieces after a blank."""
+        cores = pc.utf8_rtrim(pieces, TAIL)
+        is_word = pc.match_substring_regex(cores, WORD)
+        keys = pc.if_else(is_word, cores, pieces).dictionary_encode()
+        key, is_word = keys.indices.to_numpy(), is_word.to_numpy(zero_copy_only=False)
+        of_words = np.zeros(len(keys.dictionary), bool)
+        of_words[key] = is_word
+        # Marks behind a word are single bytes.
+        marks = (pc.binary_length(pieces).to_numpy() - pc.binary_length(cores).to_numpy()) * is_word
+        tailed = np.flatnonzero(marks)
+        whole = strings(pieces.take(pa.array(tailed)))
+        ends = pa.array([p[-n:] for p, n in zip(whole, marks[tailed].tolist(), strict=True)], pa.string()).dictionary_encode()
+        heads = self._learn(keys.dictionary, of_words)
+        pool = self.pool.joined(Pool.of([*self._ids(strings(ends.dictionary)), b""], self.kind))
+        parts = np.empty((len(pieces), 2), np.int64)
+        parts[:, 0], parts[:, 1] = heads[key], len(pool.sizes) - 1
+        parts[tailed, 1] = len(self.pool.sizes) + ends.indices.to_numpy()
+        return Pool(pool.laid(parts.reshape(-1)), pool.sizes[parts].sum(axis=1))
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -169,14 +185,88 @@ class WordEncoder:
         texts = [t or "" for t in texts]
         if not self.by_piece:
             return self._ids(texts)
-        cut = [self.pieces(t) for t in texts]
-        wanted: set[str] = set()
-        for parts in cut:
-            wanted.update(parts[1:])
-        self._learn(wanted)
-        ids = self.spaced.__getitem__
-        first = self._ids([parts[0] for parts in cut])
-        return [head + b"".join(map(ids, parts[1:])) for head, parts in zip(first, cut, strict=True)]
+        found, begin, size = [], 0, 0
+        for end, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= CHARACTERS or end == len(texts):
+                found += self._encoded(texts[begin:end])
+                begin, size = end, 0
+        return found
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        """Ids of some texts: all their pieces are told apart side by side."""
+        first, rest, cut, odd = [], [], [], []
+        for number, text in enumerate(texts):
+            if ODD.search(text):
+                head, *parts = self.pieces(text)
+                odd.append(number)
+                cut.append(parts)
+                rest.append(None)
+            else:
+                # Behind a blank there is no line break yet, so that these tell the new cuts.
+                head, blank, tail = (BREAK.sub(" \n", text) if "\n" in text else text).partition(" ")
+                rest.append(tail if blank else None)
+            first.append(head)
+        split = pc.split_pattern(pa.array(rest, pa.string()), " ")
+        count = pc.list_value_length(split).fill_null(0).to_numpy().astype(np.int64)
+        pieces = pa.concat_arrays([split.flatten(), pa.array([p for parts in cut for p in parts], pa.string())])
+        # Texts with odd blanks stand behind the others here.
+        order = np.concatenate((np.setdiff1d(np.arange(len(texts)), odd), np.array(odd, np.int64))).astype(np.int64)
+        count[odd] = [len(parts) for parts in cut]
+        count = count[order]
+        coded = pieces.dictionary_encode()
+        known = self._pieces_ids(coded.dictionary)
+        pool = known.joined(Pool.of(self._ids([first[i] for i in order.tolist()]), self.kind))
+        places = np.empty(len(pieces) + len(texts), np.int64)
+        starts = np.cumsum(count + 1) - (count + 1)
+        behind = np.ones(len(places), bool)
+        behind[starts] = False
+        places[starts] = len(known.sizes) + np.arange(len(texts))
+        places[behind] = coded.indices.to_numpy()
+        ids = pool.laid(places)
+        ends = np.cumsum(np.add.reduceat(pool.sizes[places], starts)) if len(texts) else starts
+        out = [b""] * len(texts)
+        for number, a, b in zip(order.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            out[number] = ids[a:b].tobytes()
+        return out
+
+
+class Pool:
+    """Runs of ids behind each other, and the length of each run."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.ids, self.sizes = ids, sizes
+
+    @classmethod
+    def of(cls, runs: list[bytes], kind: str) -> "Pool":
+        ids = np.frombuffer(b"".join(runs), kind)
+        return cls(ids, np.fromiter(map(len, runs), np.int64, len(runs)) // ids.itemsize)
+
+    def joined(self, *others: "Pool") -> "Pool":
+        pools = [self, *others]
+        return Pool(np.concatenate([p.ids for p in pools]), np.concatenate([p.sizes for p in pools]))
+
+    def taken(self, runs: np.ndarray) -> "Pool":
+        return Pool(self.laid(runs), self.sizes[runs])
+
+    def laid(self, runs: np.ndarray) -> np.ndarray:
+        """The ids of runs, in the order given."""
+        sizes = self.sizes[runs]
+        ends = np.cumsum(sizes)
+        shift = (np.cumsum(self.sizes) - self.sizes)[runs] - (ends - sizes)
+        at = np.repeat(shift, sizes)
+        at += np.arange(len(at))
+        return self.ids[at]
+
+
+@lru_cache(maxsize=1)
+def encoder_for(spec: str) -> WordEncoder:
+    """One encoder for all tasks of a worker, with what it remembers."""
+    return WordEncoder(spec)
+
+
+def strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def byte_letters() -> dict[int, str]:
@@ -211,8 +301,7 @@ def token_segments(docs: DataFrame, spec: str, doc_id: str, text: str, end_id: i
     names = ["file", "segment", "doc_ids", "lengths", "ids"]
 
     def run(batches):
-        # What a task remembers goes with the task: workers are used again by other stages.
-        encoder = WordEncoder(shared.value)
+        encoder = encoder_for(shared.value)
         end = np.array([end_id], dtype=encoder.kind).tobytes()
         segment, held, file, size = 0, [], 0, 0
 
@@ -243,8 +332,10 @@ def token_segments(docs: DataFrame, spec: str, doc_id: str, text: str, end_id: i
                         segment, held, size = segment + 1, [], 0
         if held:
             yield packed()
-        del encoder
         held.clear()
+        # Workers are used again by other stages.
+        if encoder.held() > REMEMBERED:
+            encoder.forget()
         common.give_back()
 
     schema = "file int, segment int, doc_ids array<long>, lengths array<int>, ids binary"

@@ -622,3 +622,31 @@ def test_encoding_tasks_give_their_memory_back(spark, monkeypatch):
         token_file.token_segments(docs, f.read(), "doc_id", "text", 2)
     batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a few words"], "file": [0]})
     assert len(list(tasks[0](iter([batch])))) == 1 and given
+
+
+def test_tasks_of_one_worker_learn_words_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a few words")], "doc_id long, text string")
+    tasks, learned = [], []
+    made, tokenized = type(docs).mapInArrow, token_file.WordEncoder._word_ids
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, run, schema: tasks.append(run) or made(df, run, schema))
+    monkeypatch.setattr(token_file.WordEncoder, "_word_ids", lambda self, words: learned.extend(words) or tokenized(self, words))
+    with open(token_file.default_tokenizer(), encoding="utf-8") as f:
+        token_file.token_segments(docs, f.read(), "doc_id", "text", 2)
+    token_file.encoder_for.cache_clear()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["a few words, a few"], "file": [0]})
+    first, second = (list(tasks[0](iter([batch])))[0] for _ in range(2))
+    assert first.equals(second) and sorted(learned) == ["a", "few", "words"]
+
+
+@pytest.mark.parametrize("remembered, characters", [(0, 1), (200, 40), (1 << 20, 1 << 20)])
+def test_what_is_remembered_does_not_change_ids(tokenizer, monkeypatch, remembered, characters):
+    monkeypatch.setattr(token_file, "REMEMBERED", remembered)
+    monkeypatch.setattr(token_file, "CHARACTERS", characters)
+    with open(token_file.default_tokenizer(), encoding="utf-8") as f:
+        encoder = token_file.WordEncoder(f.read())
+    draw = np.random.default_rng(7)
+    parts = ["word", "wörd", "words.", "it's", "(x)", "12", "漢字", "\nnext", "\n\n", "  two", "a!?", ""]
+    texts = [" ".join(draw.choice(parts, int(n))) for n in draw.integers(0, 9, 400)] + [None]
+    for some in (texts, texts[::-1], []):
+        got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(some)]
+        assert got == [e.ids for e in tokenizer.encode_batch([t or "" for t in some], add_special_tokens=False)]
