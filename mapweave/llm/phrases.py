@@ -7,7 +7,7 @@ in one shard at least, so the union of the shards' phrases misses none; all of t
 counted exactly over all documents, as text.
 
 Shards are spread over all tasks: a task counts what it reads, and sums meet by 32 bits of a hash of
-the phrase. What passes from one level to the next is a bitmap of fixed size. Phrases that share
+the phrase. Sums travel as packed rows, one for each shard, language and range of hashes. What passes from one level to the next is a bitmap of fixed size. Phrases that share
 a hash, or a bit, only make more candidates for the exact count.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,10 +34,16 @@ UNKNOWN_LANG = "und"
 # Bits of a hash that are summed by, and those that find a place in one level's bitmap of 16 MB.
 HASH_BITS, BITS = 32, 27
 BUCKET = 1 << 15
+# First bits of a hash by which sums are packed into rows.
+PACK_BITS = 10
+LIMITS = ["support", "n_shard", "n_all"]
 # Bytes of text taken at a time, phrase numbers and words held by a task before they are summed.
 BYTES, HELD, WORDS = 4 << 20, 1 << 22, 1 << 18
 # Texts taken and phrases given out at a time.
 TEXTS, ROWS = 500, 50_000
+SUMS = pa.schema(
+    [("shard", pa.int32()), ("lang", pa.string()), ("hashes", pa.binary()), ("counts", pa.binary()), ("total", pa.int64())]
+)
 
 # Capital letters become small, breaks a full stop, tabs blanks: as bytes, which leaves all others alone.
 _TABLE = bytearray(range(256)).lower()
@@ -78,7 +85,7 @@ class _Words(dict):
 
 
 def _chunks(batches, most: int):
-    """(shard, lang, bytes) of texts of one shard and language, with a break after each."""
+    """Lists of (shard, lang, bytes) of texts of one shard and language each, with a break after each text."""
     held: dict[tuple[int, str], list] = {}
     size = 0
     slices = (batch.slice(a, TEXTS) for batch in batches for a in range(0, batch.num_rows, TEXTS))
@@ -89,18 +96,24 @@ def _chunks(batches, most: int):
             held.setdefault((shard, lang), []).append(data)
             size += len(data)
             if size >= most:
-                for (s, name), parts in held.items():
-                    yield s, name, b"\n".join([*parts, b""])
+                yield [(s, name, b"\n".join([*parts, b""])) for (s, name), parts in held.items()]
                 held, size = {}, 0
-    for (s, name), parts in held.items():
-        yield s, name, b"\n".join([*parts, b""])
-
-
-def _numbers(words: _Words, data: bytes) -> np.ndarray:
-    found = data.translate(_TABLE).replace(b".", b" . ").split(b" ")
-    numbers = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+    if held:
+        yield [(s, name, b"\n".join([*parts, b""])) for (s, name), parts in held.items()]
+
+
+def _numbers(words: _Words, chunk: list[tuple[int, str, bytes]]):
+    """(shard, lang, numbers of all words) of each part of a chunk; each distinct word is looked up once."""
+    texts = [data.translate(_TABLE).replace(b".", b" . ") for _, _, data in chunk]
+    split = pc.split_pattern(pa.array(texts, pa.large_binary()), b" ")
+    coded = split.flatten().dictionary_encode()
+    names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    own = np.fromiter(map(words.__getitem__, names), np.int64, len(names))
+    numbers, ends = own[coded.indices.to_numpy()], split.offsets.to_numpy().tolist()
     blank = words.get(b"")
-    return numbers if blank is None else numbers[numbers != blank]
+    for (shard, lang, _), a, b in zip(chunk, ends[:-1], ends[1:], strict=True):
+        part = numbers[a:b]
+        yield shard, lang, part if blank is None else part[part != blank]
 
 
 def _phrase_hashes(words: _Words, numbers: np.ndarray, lang: str, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,49 +171,142 @@ def _dealt(docs: DataFrame) -> list[str]:
 
 
 def _summed(batches, level, limits: tuple[int, int, int]):
-    """Sums (shard, lang, hash) over what a task reads, given out whenever much is held."""
+    """Sums over what a task reads, packed by (shard, lang, bucket), given out whenever much is held."""
     most_bytes, most_held, most_words = limits
     words, held, size = _Words(), {}, 0
-
-    def out():
-        for (shard, lang), parts in held.items():
-            keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-            if len(keys):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(keys), shard, np.int32)),
-                        pa.array([lang], pa.string()).take(pa.array(np.zeros(len(keys), np.int32))),
-                        pa.array(keys.view(np.int32)),
-                        pa.array(counts),
-                    ],
-                    names=["shard", "lang", "hash", "n"],
-                )
-
-    for shard, lang, data in _chunks(batches, most_bytes):
+    for chunk in _chunks(batches, most_bytes):
         if len(words) > most_words:
             words = _Words()
-        numbers = _numbers(words, data)
-        for hashes in level(words, numbers, lang):
-            held.setdefault((shard, lang), []).append((hashes >> np.uint64(64 - HASH_BITS)).astype(np.uint32))
-            size += len(hashes)
-        if size >= most_held:
-            yield from out()
-            held, size = {}, 0
-    yield from out()
-
-
-def _mine(texts: DataFrame, level) -> DataFrame:
-    """(shard, lang, hash, n): how often each hash that ``level`` gives occurs in each shard."""
+        for shard, lang, numbers in _numbers(words, chunk):
+            for hashes in level(words, numbers, lang):
+                held.setdefault((shard, lang), []).append((hashes >> np.uint64(64 - HASH_BITS)).astype(np.uint32))
+                size += len(hashes)
+            if size >= most_held:
+                yield from map(_packed, held, held.values())
+                held, size = {}, 0
+    yield from map(_packed, held, held.values())
+    held.clear()
+    # Workers are used again by other stages.
+    del words
+    common.give_back()
+
+
+def _packed(key: tuple[int, str], parts: list[np.ndarray]) -> pa.RecordBatch:
+    """A row for each bucket of hashes that occurs: its hashes and their counts."""
+    hashes, counts = np.unique(np.concatenate(parts), return_counts=True)
+    counts = counts.astype(np.uint32)
+    bucket = hashes >> np.uint32(HASH_BITS - PACK_BITS)
+    cuts = np.flatnonzero(np.concatenate((bucket[:1] >= 0, bucket[1:] != bucket[:-1])))
+    rows = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(hashes)]))
+    columns = [
+        pa.array([key[0]] * len(rows), pa.int32()),
+        pa.array([key[1]] * len(rows), pa.string()),
+        pa.array(bucket[cuts].astype(np.int32)),
+        pa.array([hashes[a:b].tobytes() for a, b in rows], pa.binary()),
+        pa.array([counts[a:b].tobytes() for a, b in rows], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["shard", "lang", "bucket", "hashes", "counts"])
+
+
+def _added(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes and the sums of their counts."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, counts = hashes[order], counts[order]
+    at = np.flatnonzero(np.concatenate((hashes[:1] >= 0, hashes[1:] != hashes[:-1])))
+    return hashes[at], np.add.reduceat(counts, at)
+
+
+def _merged(batches, most: int):
+    """(shard, lang, further columns, hashes, sums of counts) for each (shard, lang, bucket) of sorted rows."""
+    key, hashes, counts, size = None, [], [], 0
+    known = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def all_so_far():
+        more = np.frombuffer(b"".join(hashes), np.uint32), np.frombuffer(b"".join(counts), np.uint32).astype(np.int64)
+        return _added(np.concatenate((known[0], more[0])), np.concatenate((known[1], more[1])))
+
+    for batch in batches:
+        columns = (column.to_numpy(zero_copy_only=False).tolist() for column in batch.columns)
+        for shard, lang, bucket, some, times, *further in zip(*columns, strict=True):
+            if key is None or key[:3] != (shard, lang, bucket):
+                if key is not None:
+                    yield key[0], key[1], key[3], *all_so_far()
+                key, hashes, counts, size = (shard, lang, bucket, further), [], [], 0
+                known = np.empty(0, np.uint32), np.empty(0, np.int64)
+            hashes.append(some)
+            counts.append(times)
+            size += len(some) // 4
+            if size >= most:
+                known = all_so_far()
+                hashes, counts, size = [], [], 0
+    if key is not None:
+        yield key[0], key[1], key[3], *all_so_far()
+
+
+def _mine(texts: DataFrame, level, needed: DataFrame | None = None) -> DataFrame:
+    """Packed rows of how often each hash that ``level`` gives occurs in each shard, those of one bucket together.
+
+    (shard, lang, bucket, hashes, counts), several rows for a bucket, and the columns of ``needed``.
+    """
     limits = (BYTES, HELD, WORDS)
-    counted = texts.mapInArrow(lambda batches: _summed(batches, level, limits), "shard int, lang string, hash int, n long")
-    return counted.groupBy("shard", "lang", "hash").agg(F.sum("n").alias("n"))
+    schema = "shard int, lang string, bucket int, hashes binary, counts binary"
+    counted = texts.mapInArrow(lambda batches: _summed(batches, level, limits), schema)
+    if needed is not None:
+        counted = counted.join(needed, ["shard", "lang"])
+    key = ["shard", "lang", "bucket"]
+    return counted.repartition(*key).sortWithinPartitions(*key)
+
+
+def _sums(mined: DataFrame) -> DataFrame:
+    """(shard, lang, hashes, counts, total): the counts of each bucket added up, as 64-bit numbers, and their sum."""
+    most = HELD
+
+    def run(batches):
+        for shard, lang, _, hashes, counts in _merged(batches, most):
+            row = [[shard], [lang], [hashes.tobytes()], [counts.tobytes()], [int(counts.sum())]]
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, SUMS)], schema=SUMS)
+        common.give_back()
+
+    return mined.mapInArrow(run, "shard int, lang string, hashes binary, counts binary, total long")
 
 
-def _bits_of(counted: DataFrame, needed: DataFrame) -> np.ndarray:
-    """The bitmap of hashes that reach their shard's support in any shard."""
-    bit = F.shiftrightunsigned("hash", HASH_BITS - BITS)
-    frequent = counted.join(needed, ["shard", "lang"]).where(_reaches("n"))
-    bits = frequent.select(bit.alias("bit")).groupBy(F.expr(f"bit div {BUCKET}").alias("bucket"))
+def _frequent(hashes: np.ndarray, counts: np.ndarray, support: int, n_shard: int, n_all: int, shift: int) -> pa.RecordBatch:
+    """The bits of hashes that reach their shard's part of the support, exactly."""
+    found = hashes[counts >= -(-int(support) * int(n_shard) // int(n_all))]
+    return pa.RecordBatch.from_arrays([pa.array(np.unique(found >> np.uint32(shift)).astype(np.int64))], names=["bit"])
+
+
+def _bits_of_sums(sums: DataFrame, needed: DataFrame) -> DataFrame:
+    """(bit) of the hashes of summed rows that reach their shard's support."""
+    shift = HASH_BITS - BITS
+
+    def run(batches):
+        for batch in batches:
+            columns = (column.to_numpy(zero_copy_only=False).tolist() for column in batch.columns)
+            for hashes, counts, *limits in zip(*columns, strict=True):
+                yield _frequent(np.frombuffer(hashes, np.uint32), np.frombuffer(counts, np.int64), *limits, shift)
+        common.give_back()
+
+    rows = sums.join(needed, ["shard", "lang"]).select("hashes", "counts", *LIMITS)
+    return rows.mapInArrow(run, "bit long")
+
+
+def _bits_of_mined(texts: DataFrame, level, needed: DataFrame) -> DataFrame:
+    """(bit) of the hashes that ``level`` gives and that reach their shard's support; a task needs one Python worker."""
+    shift, most = HASH_BITS - BITS, HELD
+
+    def run(batches):
+        for _, _, limits, hashes, counts in _merged(batches, most):
+            yield _frequent(hashes, counts, *limits, shift)
+        common.give_back()
+
+    rows = _mine(texts, level, needed).select("shard", "lang", "bucket", "hashes", "counts", *LIMITS)
+    return rows.mapInArrow(run, "bit long")
+
+
+def _bitmap(frequent: DataFrame) -> np.ndarray:
+    """The bitmap of (bit)."""
+    bits = frequent.groupBy(F.expr(f"bit div {BUCKET}").alias("bucket"))
     found = bits.agg(F.bitmap_construct_agg(F.col("bit") % BUCKET).alias("bits"))
     marks = np.zeros(1 << BITS - 3, np.uint8)
     for bucket, part in found.toLocalIterator():
@@ -209,12 +315,6 @@ def _bits_of(counted: DataFrame, needed: DataFrame) -> np.ndarray:
     return marks
 
 
-def _reaches(n: str) -> Column:
-    """Whether a count is at least the support times the shard's part of all words, exactly."""
-    wide = "decimal(20,0)"
-    return F.col(n).cast(wide) * F.col("n_all").cast(wide) >= F.col("support").cast(wide) * F.col("n_shard").cast(wide)
-
-
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", support: int = SUPPORT, longest: int = LONGEST) -> DataFrame:
     """(lang, phrase, size, f, n): every phrase of 1 to ``longest`` words with at least ``support`` occurrences.
 
@@ -230,26 +330,26 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", su
     def each_word(words, numbers, name):
         yield _phrase_hashes(words, numbers, name, 1)[1]
 
-    one = stage.table(_mine(texts, each_word), "words")
-    shards = stage.table(one.groupBy("shard", "lang").agg(F.sum("n").alias("n_shard")), "shards")
+    one = stage.table(_sums(_mine(texts, each_word)), "words")
+    shards = stage.table(one.groupBy("shard", "lang").agg(F.sum("total").alias("n_shard")), "shards")
     totals = shards.groupBy("lang").agg(F.sum("n_shard").alias("n_all"))
     needed = shards.join(totals, "lang").withColumn("support", F.lit(support))
     needed = stage.table(needed, "needed")
-    marks = {1: spark.sparkContext.broadcast(_bits_of(one, needed))}
+    marks = {1: spark.sparkContext.broadcast(_bitmap(_bits_of_sums(one, needed)))}
 
     if longest > 1:
 
         def pairs(words, numbers, name):
             yield _candidates(words, numbers, name, 2, marks[1].value, 1)[1]
 
-        marks[2] = spark.sparkContext.broadcast(_bits_of(_mine(texts, pairs), needed))
+        marks[2] = spark.sparkContext.broadcast(_bitmap(_bits_of_mined(texts, pairs, needed)))
     if longest > 2:
 
         def longer(words, numbers, name):
             for size in range(3, longest + 1):
                 yield _candidates(words, numbers, name, size, marks[2].value, 2)[1]
 
-        marks[3] = spark.sparkContext.broadcast(_bits_of(_mine(texts, longer), needed))
+        marks[3] = spark.sparkContext.broadcast(_bitmap(_bits_of_mined(texts, longer, needed)))
 
     # Here a phrase is held as the numbers of its words.
     most_bytes, most_held, most_words = BYTES, HELD // longest, WORDS
@@ -276,23 +376,26 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", su
                         names=["lang", "phrase", "size", "f"],
                     )
 
-        for _, name, data in _chunks(batches, most_bytes):
+        for chunk in _chunks(batches, most_bytes):
             if len(words) > most_words or size >= most_held:
                 yield from out()
                 words, held, size = _Words() if len(words) > most_words else words, {}, 0
-            numbers = _numbers(words, data)
-            for length in range(1, longest + 1):
-                if length == 1:
-                    starts, hashes = _phrase_hashes(words, numbers, name, 1)
-                else:
-                    below = min(length, 3) - 1
-                    starts, hashes = _candidates(words, numbers, name, length, marks[below].value, below)
-                starts = starts[_marked(marks[min(length, 3)].value, hashes)]
-                if len(starts):
-                    rows = np.stack([numbers[starts + k] for k in range(length)], axis=1).astype(np.int32)
-                    held.setdefault((name, length), []).append(rows)
-                    size += len(starts)
+            for _, name, numbers in _numbers(words, chunk):
+                for length in range(1, longest + 1):
+                    if length == 1:
+                        starts, hashes = _phrase_hashes(words, numbers, name, 1)
+                    else:
+                        below = min(length, 3) - 1
+                        starts, hashes = _candidates(words, numbers, name, length, marks[below].value, below)
+                    starts = starts[_marked(marks[min(length, 3)].value, hashes)]
+                    if len(starts):
+                        rows = np.stack([numbers[starts + k] for k in range(length)], axis=1).astype(np.int32)
+                        held.setdefault((name, length), []).append(rows)
+                        size += len(starts)
         yield from out()
+        del words
+        held.clear()
+        common.give_back()
 
     counted = texts.mapInArrow(count, "lang string, phrase string, size int, f long")
     exact = counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= support)

@@ -6,6 +6,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -148,6 +150,32 @@ def test_shards_lose_no_phrase(spark, monkeypatch):
         assert got == {"x y": 12, "y z": 12, "x y z": 12, "a b": 12, "p q": 12}
 
 
+@pytest.mark.parametrize("held, most", [(10, 3), (1 << 20, 1 << 20)])
+def test_packed_sums_are_plain_counts(held, most):
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in draw.integers(0, 200, 30)) + "..  x\ty" for _ in range(40)]
+    shards, langs = draw.integers(0, 3, 40).tolist(), draw.choice(["en", "de"], 40).tolist()
+    batch = pa.RecordBatch.from_pydict({"shard": shards, "lang": langs, "text": texts})
+
+    def each_word(words, numbers, name):
+        yield phrases._phrase_hashes(words, numbers, name, 1)[1]
+
+    rows = list(phrases._summed(iter([batch]), each_word, (1000, held, 50)))
+    packed = sorted((r for b in rows for r in b.to_pylist()), key=lambda r: (r["shard"], r["lang"], r["bucket"]))
+    ordered = pa.RecordBatch.from_pylist(packed, rows[0].schema)
+    got = Counter()
+    for shard, lang, _, hashes, counts in phrases._merged(iter([ordered.slice(0, 7), ordered.slice(7)]), most):
+        assert len(set(hashes.tolist())) == len(hashes)
+        got.update({(shard, lang, h): n for h, n in zip(hashes.tolist(), counts.tolist())})
+    words, expected = phrases._Words(), Counter()
+    for shard, lang, text in zip(shards, langs, texts):
+        names = [w.encode() for w in re.split("[. \t]", text) if w]
+        numbers = np.array([words[w] for w in names])
+        found = phrases._phrase_hashes(words, numbers, lang, 1)[1] >> np.uint64(32)
+        expected.update((shard, lang, h) for h in found.tolist())
+    assert got == expected
+
+
 def test_odd_rows_have_phrases(odd):
     got = phrases.collocations(odd, support=2, first=50).collect()
     assert set(map(tuple, got)) == brute_phrases([(r.text, r.lang) for r in odd.collect()], 2, 50)
