@@ -574,6 +574,62 @@ def test_rare_words_have_their_own_probability(spark):
     assert {r.word.decode(): np.exp(r.log_share) for r in shares} == pytest.approx({a: 5 / 6, b: 1 / 6})
 
 
+def test_words_of_a_text_are_told_apart_side_by_side():
+    """Numbers, known shares and rare words of texts against plain loops; each distinct word is looked up once."""
+    texts = [None, "", "  ", " B a\tb  zz\x0bC é É a", "zz", "rare1 RARE2 rare1 \x1c x\x85y", "b rare2 \n"]
+    listed, known = [b"a", b"b"], {b"zz": -0.5, b"rare2": -2.0}
+    numbers = masked_lm.Numbers(listed, pa.table({"word": [*known], "log_share": [*known.values()]}))
+    looked_up, of = [], numbers.of
+    numbers.of = lambda distinct: looked_up.extend(distinct.to_pylist()) or of(distinct)
+    ids, shares, rare = masked_lm._numbered(numbers, pa.array(["x", *texts, "x"]).slice(1, len(texts)))
+    plain = [(t or "").encode().lower().split() for t in texts]
+    assert len(looked_up) == len(set(looked_up)) and set(looked_up) >= {w for p in plain for w in p}
+    classes = masked_lm.rare_classes(masked_lm.GROUPS)
+    want = [[listed.index(w) + 1 if w in listed else 3 + zlib.crc32(w) % classes for w in p] for p in plain]
+    assert [np.frombuffer(b, np.uint32).tolist() for b in ids.to_pylist()] == want
+    assert shares.to_pylist() == [sum(known.get(w, 0) for w in p) for p in plain]
+    other = [Counter(w for w in p if w not in listed and w not in known) for p in plain]
+    assert [{r["word"]: r["times"] for r in doc} for doc in rare.to_pylist()] == other
+    for none in ([], [None], [""]):
+        assert masked_lm._numbered(numbers, pa.array(none, pa.string()))[0].to_pylist() == [b""] * len(none)
+
+
+def test_scores_do_not_depend_on_which_shares_are_broadcast(spark, monkeypatch):
+    texts = ["one two three one", "two four five five", None, "six one seven"] * 3 + ["eight nine one"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(masked_lm, "frequent", lambda counts: [b"one"])
+    got = []
+    for most in (0, 2, 100):
+        monkeypatch.setattr(masked_lm.known_shares, "__defaults__", (most,))
+        rows = {r.row.doc_id: (r.n_words, r.log_likelihood) for r in masked_lm.pseudo_likelihood(docs).collect()}
+        got.append([x for i in range(len(texts)) for x in rows[i]])
+    assert got[1] == pytest.approx(got[0]) and got[2] == pytest.approx(got[0])
+    counts = masked_lm.word_counts(docs)
+    known = masked_lm.known_shares(masked_lm.class_shares(counts, [b"one"]), 4)
+    assert 0 < len(known) <= 4
+
+
+def test_a_step_takes_the_softmaxes_of_many_groups_at_once(monkeypatch):
+    """Far fewer exponentials than groups, and the same step however the rows are cut into blocks."""
+    draw = np.random.default_rng(5)
+    words = draw.integers(1, masked_lm.WORDS, 900)
+    context = [draw.integers(0, masked_lm.WORDS, 900) for _ in masked_lm.OFFSETS]
+    plain, calls = np.exp, []
+    monkeypatch.setattr(np, "exp", lambda *args, **kw: calls.append(1) or plain(*args, **kw))
+    whole = masked_lm.WindowNetwork()
+    whole.step(words, context)
+    assert len(calls) < masked_lm.GROUPS // 2
+    scores = whole.log_probabilities(words, context)
+    monkeypatch.setattr(masked_lm, "LOGITS", 7 * masked_lm.GROUPS)
+    cut = masked_lm.WindowNetwork()
+    cut.step(words, context)
+    assert cut.flat == pytest.approx(whole.flat, abs=1e-4)
+    assert cut.log_probabilities(words, context) == pytest.approx(scores, abs=1e-2)
+    wide = masked_lm.WindowNetwork(whole.flat * 200)
+    every = np.arange(masked_lm.WORDS)
+    assert np.isfinite(wide.log_probabilities(every, [every] * len(masked_lm.OFFSETS))).all()
+
+
 def test_listed_words_grow_with_the_corpus(spark):
     counts = spark.range(1, 5001).selectExpr("cast(cast(id AS string) AS binary) AS word", "10000000 div id AS n")
     words = masked_lm.frequent(counts)
